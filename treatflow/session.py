@@ -56,7 +56,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def estimated_bytes(df: DataFrame) -> int:
     """Size the optimizer gives the plan; file size for file sources."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
