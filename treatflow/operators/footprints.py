@@ -175,13 +175,15 @@ def near_identical(df: DataFrame, tol: float, oid: str = "oid", geom: str = "geo
 
 
 def join_duplicates(df: DataFrame, groups: DataFrame, with_size: bool = False, oid: str = "oid") -> DataFrame:
-    """``DuplID`` of every row, 0 when it stands alone; optionally the group's size."""
+    """``DuplID`` of every row, null when it stands alone; optionally the group's size.
+
+    Null and not 0, because 0 may be a row's own id.
+    """
     named = groups.select(F.col("oid").alias("__oid"), F.col("grp").alias("DuplID"))
     if with_size:
         sizes = named.groupBy("DuplID").agg(F.count(F.lit(1)).alias("DuplCount"))
         named = named.join(sizes, "DuplID")
-    joined = df.join(named, F.col(oid) == F.col("__oid"), "left").drop("__oid")
-    return joined.fillna(0, subset=[c for c in ("DuplID", "DuplCount") if c in joined.columns])
+    return df.join(named, F.col(oid) == F.col("__oid"), "left").drop("__oid")
 
 
 def dense_number(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -206,7 +208,7 @@ def dense_number(df: DataFrame, key: str, name: str) -> DataFrame:
 def dissolve_groups(df: DataFrame, fields: Sequence[str], dup: str = "DuplID") -> DataFrame:
     """``DISSOLVE_GRP``: number of the row's ``dup|fields`` key, as text; ``'None'`` when it stands alone."""
     text = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in (dup, *fields)]
-    keyed = df.withColumn("__dkey", F.when(F.col(dup) != 0, F.concat_ws("|", *text)))
+    keyed = df.withColumn("__dkey", F.when(F.col(dup).isNotNull(), F.concat_ws("|", *text)))
     numbered = dense_number(keyed, "__dkey", "__dno")
     return numbered.withColumn(
         "DISSOLVE_GRP", F.coalesce(F.col("__dno").cast("string"), F.lit("None"))

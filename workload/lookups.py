@@ -35,7 +35,7 @@ RULES = [
     ("gear", "Mastication"),
     ("cold rod", "Manual"),
     ("plate", "PLANT CHECK"),
-    ("(?:^| )the ", "Seed"),
+    ("(?:^| )the(?: |$)", "Seed"),
 ]
 
 
