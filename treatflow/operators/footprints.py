@@ -269,6 +269,8 @@ def flatten(df: DataFrame, tol: float, fields: Sequence[str], stats: Mapping[str
 
     Adds ``area`` and ``perimeter`` of every footprint, the union's for dissolved ones.
     """
+    # read several times below, so what leads up to it is computed once
+    df = cut_lineage(df)
     groups = near_identical(df, tol, oid, geom)
     tagged = cut_lineage(dissolve_groups(join_duplicates(df, groups, oid=oid), fields))
     alone = tagged.filter(F.col("DISSOLVE_GRP") == "None").withColumns(

@@ -34,7 +34,7 @@ VIEWS = {
                CASE WHEN oid % 6 = 0 THEN NULL ELSE flag || '1' END AS FUND_CODES,
                CASE WHEN oid % 2 = 0 THEN '' ELSE 'DOC ' || equipment END AS NEPA_DOC_NAME,
                region AS STATE_ABBR, date_completed AS DATE_COMPLETED, date_awarded AS DATE_AWARDED,
-               units AS NBR_UNITS_ACCOMPLISHED, gis_acres
+               units AS NBR_UNITS_ACCOMPLISHED, gis_acres, orderkey
         FROM {treatments} WHERE flag = 'R'""",
     "layer_b": """
         SELECT oid, CASE WHEN oid % 5 < 2 THEN NULL ELSE method END AS AU_NAME,
@@ -42,7 +42,7 @@ VIEWS = {
                activity AS ACTIVITY, method AS METHOD,
                CASE WHEN oid % 3 = 0 THEN 'PRJ ' || equipment END AS NEPA_PROJECT_NAME,
                region AS STATE_ABBR, date_completed AS DATE_COMPLETED, date_awarded AS DATE_AWARDED,
-               units AS NBR_UNITS_ACCOMPLISHED, gis_acres
+               units AS NBR_UNITS_ACCOMPLISHED, gis_acres, orderkey
         FROM {treatments} WHERE flag <> 'R'""",
     "order_notes": """
         SELECT o.o_orderkey AS oid, p1.p_name AS name,
@@ -89,6 +89,18 @@ VIEWS = {
                CASE WHEN oid % 4 = 0 THEN 'NAME ' || o_orderstatus ELSE o_orderpriority END AS TREATMENT_NAME
         FROM (SELECT o_orderkey AS oid, CAST(floor(o_orderkey / 3) AS BIGINT) AS g, o_orderkey % 3 AS k,
                      o_orderdate, o_totalprice, o_orderpriority, o_orderstatus FROM {orders}) keyed""",
+    "placed_a": """
+        SELECT a.*, f.x0, f.y0, f.w, f.h FROM {layer_a} a JOIN {footprints} f ON a.orderkey = f.oid""",
+    "placed_b": """
+        SELECT b.*, f.x0, f.y0, f.w, f.h FROM {layer_b} b JOIN {footprints} f ON b.orderkey = f.oid""",
+    "units": """
+        SELECT oid, g, k, x0, y0, w, h, activity_reclass AS ActClass, DATE_COMPLETED AS COMPLETED1,
+               NBR_UNITS_ACCOMPLISHED AS COMPLETED_,
+               CASE oid % 4 WHEN 0 THEN 'Acres' WHEN 1 THEN 'trees' WHEN 2 THEN NULL ELSE 'ACRES' END AS UNIT_OF_ME,
+               TREATMENT_NAME AS NAME_REDACT, CAST(oid AS VARCHAR(20)) AS ID_CODE, FUND_CODE AS FUNDING_SO,
+               CASE WHEN oid % 3 = 0 THEN 'none' ELSE TREATMENT_NAME END AS DESCRIPTION_REDACT,
+               CASE WHEN oid % 2 = 0 THEN FUND_CODE END AS COMMENT_REDACT, 'thin' AS Class_Combine
+        FROM {footprints}""",
     "parcels": """
         SELECT i * 1000000 + j AS parcel_id, n.n_name AS owner,
                CAST(500000 + i * 2700 AS DOUBLE) AS x0, CAST(4400000 + j * 2700 AS DOUBLE) AS y0,
@@ -121,7 +133,7 @@ VIEWS = {
         JOIN {part} t ON t.p_partkey = f.oid % 150""",
 }
 
-WITH_GEOMETRY = {"footprints", "parcels", "merged", "service"}
+WITH_GEOMETRY = {"footprints", "placed_a", "placed_b", "units", "parcels", "merged", "service"}
 
 
 def _names(text: str) -> list[str]:

@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import records, shapes, texts  # noqa: F401
+from workload import flows, records, shapes, texts  # noqa: F401

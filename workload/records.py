@@ -97,13 +97,13 @@ STANDARD_A = f"""
            coalesce({value_or_null('ACTIVITY_NAME')}, '') AS ACTIVITY,
            coalesce({value_or_null('METHOD_DESC')}, '') AS METHOD, coalesce({value_or_null('EQUIPMENT_DESC')}, '') AS EQUIPMENT,
            coalesce({value_or_null('FUND_CODES')}, 'No Funding Code') AS FUND_CODE,
-           STATE_ABBR, DATE_COMPLETED, DATE_AWARDED, NBR_UNITS_ACCOMPLISHED, gis_acres, 'a' AS layer FROM layer_a"""
+           STATE_ABBR, DATE_COMPLETED, DATE_AWARDED, NBR_UNITS_ACCOMPLISHED, gis_acres, orderkey, 'a' AS layer FROM layer_a"""
 STANDARD_B = f"""
     SELECT oid, coalesce({value_or_null('AU_NAME')}, {value_or_null('SUBUNIT_NAME')}, 'Unknown') AS TREATMENT_NAME,
            coalesce({value_or_null('NEPA_PROJECT_NAME')}, '') AS NEPA_DOC_NAME,
            coalesce({value_or_null('ACTIVITY')}, '') AS ACTIVITY,
            coalesce({value_or_null('METHOD')}, '') AS METHOD, '' AS EQUIPMENT, 'No Funding Code' AS FUND_CODE,
-           STATE_ABBR, DATE_COMPLETED, DATE_AWARDED, NBR_UNITS_ACCOMPLISHED, gis_acres, 'b' AS layer FROM layer_b"""
+           STATE_ABBR, DATE_COMPLETED, DATE_AWARDED, NBR_UNITS_ACCOMPLISHED, gis_acres, orderkey, 'b' AS layer FROM layer_b"""
 
 
 def standardized_layers(spark, sf):
