@@ -83,22 +83,33 @@ def edges(geom: str) -> Column:
     return F.expr(f"filter(flatten(transform(flatten({geom}), r -> {of_ring})), e -> e.x1 < e.x2)")
 
 
+def _repaired_list(geom: str) -> str:
+    """List of the repaired polygon, empty when nothing is left of it."""
+    no_repeats = "filter(r, (v, i) -> i = 0 or v != get(r, i - 1))"
+    open_ring = "if(size(c) > 1 and get(c, 0) = get(c, size(c) - 1), slice(c, 1, size(c) - 1), c)"
+    # every cleaned ring beside its area, which is looked at several times
+    measured = (
+        f"transform({geom}, part -> transform(transform(transform(part, r -> {no_repeats}), c -> {open_ring}), "
+        f"o -> named_struct('ring', o, 'area', if(size(o) >= 3, {_ring_area('o')}, 0D))))"
+    )
+    with_shell = f"filter({measured}, part -> coalesce(get(part, 0).area, 0D) != 0)"
+    directed = "if((i = 0) = (m.area > 0), m.ring, reverse(m.ring))"
+    parts = f"transform({with_shell}, part -> transform(filter(part, m -> m.area != 0), (m, i) -> {directed}))"
+    return f"filter(array({parts}), g -> size(g) > 0)"
+
+
 def repair(geom: str) -> Column:
     """Clean rings, right directions, no empty rings or parts; nothing left gives null.
 
     Repeated neighbouring vertices and closing vertices go, then rings under three vertices or
     without area; a part goes with its shell.
     """
-    no_repeats = "filter(r, (v, i) -> i = 0 or v != get(r, i - 1))"
-    open_ring = "if(size(c) > 1 and get(c, 0) = get(c, size(c) - 1), slice(c, 1, size(c) - 1), c)"
-    cleaned = (
-        f"transform({geom}, part -> transform(transform(part, r -> {no_repeats}), c -> {open_ring}))"
-    )
-    usable = lambda r: f"(case when size({r}) >= 3 then {_ring_area(r)} != 0 else false end)"
-    with_shell = f"filter({cleaned}, part -> size(part) > 0 and {usable('get(part, 0)')})"
-    directed = f"if((i = 0) = ({_ring_area('d')} > 0), d, reverse(d))"
-    parts = f"transform({with_shell}, part -> transform(filter(part, u -> {usable('u')}), (d, i) -> {directed}))"
-    return F.expr(f"get(filter(array({parts}), g -> size(g) > 0), 0)")
+    return F.expr(f"get({_repaired_list(geom)}, 0)")
+
+
+def repaired_rows(geom: str) -> Column:
+    """The repaired polygon as a generator: no row when nothing is left of it."""
+    return F.explode(F.expr(_repaired_list(geom)))
 
 
 def crosses_itself(geom: str) -> Column:

@@ -33,24 +33,29 @@ def check_rules(rules: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
             continue
         if empty:
             raise ValueError(f"rule matches empty text: {pattern!r}")
+        if re.search(r"\\[1-9]", pattern):
+            raise ValueError(f"rule refers back to a group: {pattern!r}")
         kept.append((pattern, label))
     return kept
 
 
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def rule_spans(text: str, pattern: str) -> str:
-    """Spans of all matches, as SQL text: gaps between matches and matches, walked left to right."""
-    java = "'(?iU)" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    gaps = f"transform(split({text}, {java}, -1), g -> length(g))"
-    hits = f"transform(regexp_extract_all({text}, {java}, 0), m -> length(m))"
-    # one gap stands before every match; the gap after the last match is left over
-    steps = f"filter(zip_with({gaps}, {hits}, (g, n) -> named_struct('g', g, 'n', n)), w -> w.n is not null)"
+    """Spans of all matches, as SQL text: gaps before matches and matches, walked left to right."""
+    # group 1 is the gap since the match before, where \G holds the search; compiled once per task
+    stepped = _literal(rf"(?iU)\G((?s:.*?))(?:{pattern})")
+    lengths = lambda group: f"transform(regexp_extract_all({text}, {stepped}, {group}), m -> length(m))"
+    steps = f"zip_with({lengths(1)}, {lengths(0)}, (g, w) -> named_struct('g', g, 'n', w - g))"
     span = "named_struct('s', acc.at + w.g, 'e', acc.at + w.g + w.n)"
     walk = (
         f"aggregate({steps}, named_struct('at', 0, 'spans', cast(array() as {SPANS})), (acc, w) -> "
         f"named_struct('at', acc.at + w.g + w.n, 'spans', array_append(acc.spans, {span})), acc -> acc.spans)"
     )
     # most rules do not occur in most texts, so the walk is behind a plain search
-    return f"if(rlike({text}, {java}), {walk}, cast(array() as {SPANS}))"
+    return f"if(rlike({text}, {_literal('(?iU)' + pattern)}), {walk}, cast(array() as {SPANS}))"
 
 
 def accepted_rules(spans_by_rule: str) -> str:

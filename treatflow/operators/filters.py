@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from treatflow.fixed_values import (
     END_YEAR, EXCLUDE, SLIVER_CHECK_ACRES, SLIVER_COMPACTNESS, SLIVER_FLOOR_ACRES, START_YEAR,
 )
-from treatflow.functions.geometry import compactness, repair
+from treatflow.functions.geometry import compactness, repaired_rows
 
 
 def region(df: DataFrame, value: str, column: str = "STATE_ABBR") -> DataFrame | None:
@@ -26,8 +26,11 @@ def drop_excluded(df: DataFrame, label: str) -> DataFrame:
 
 
 def repaired(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """Repair polygons and drop the rows that have none left."""
-    return df.withColumn(geom, repair(geom)).filter(F.col(geom).isNotNull())
+    """Repair polygons and drop the rows that have none left.
+
+    A generator does both at once; a filter on the repaired column would repair every row twice.
+    """
+    return df.select(*[c for c in df.columns if c != geom], repaired_rows(geom).alias(geom))
 
 
 def is_sliver(acres: Column, area: Column, perimeter: Column, min_acres: float = SLIVER_CHECK_ACRES) -> Column:

@@ -19,6 +19,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .appName("treatflow")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # polygon work is heavy per byte, so small shuffles keep their tasks
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
