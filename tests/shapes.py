@@ -18,9 +18,9 @@ def square(x, y, w, h=None):
 
 
 def star(rng, cx, cy, radius, n=7):
-    angles = sorted(rng.uniform(0, 2 * math.pi) for _ in range(n))
-    return [[ring([(cx + radius * rng.uniform(0.4, 1) * math.cos(a), cy + radius * rng.uniform(0.4, 1) * math.sin(a))
-                   for a in angles])]]
+    """Simple polygon: one vertex per direction from the centre."""
+    spokes = [(2 * math.pi * (i + rng.uniform(0, 0.8)) / n, radius * rng.uniform(0.4, 1)) for i in range(n)]
+    return [[ring([(cx + d * math.cos(a), cy + d * math.sin(a)) for a, d in spokes])]]
 
 
 def frame(spark, rows, extra="oid bigint"):
