@@ -2,5 +2,5 @@
 
 Field standardization, list and text cleaning, crosswalks and keyword classes are
 stateless column work, so the same functions apply to a streaming DataFrame
-(``tests/test_streaming.py`` runs them with an ``availableNow`` trigger).
+(``tests/test_sources.py`` runs them with an ``availableNow`` trigger).
 """
