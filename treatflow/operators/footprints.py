@@ -78,8 +78,8 @@ def _lead_crowds(shapes: DataFrame, crowded: DataFrame, tol: float) -> tuple[Dat
     """Stand-ins for crowded blocks: (nodes, member links).
 
     A round takes up to ``LEADERS`` shapes per crowded block, from where most shapes lie, and links the
-    block's shapes to those within tolerance.  What is left goes to the next round, until no block is
-    crowded.  Each shape is compared with leaders only, so a block of n shapes never costs n * n.
+    block's shapes to those within tolerance.  What is left goes to the next round, with twice as many
+    leaders, until no block is crowded.  Shapes are compared with leaders only, never all with all.
     """
     side = tol / 2
     snapped = F.expr(
@@ -89,10 +89,10 @@ def _lead_crowds(shapes: DataFrame, crowded: DataFrame, tol: float) -> tuple[Dat
     block = ["sig", "cx", "cy"]
     rest = shapes.join(crowded.select(block), block, "left_semi").withColumn("fine", F.xxhash64(snapped))
     nodes = shapes.join(crowded.select(block), block, "left_anti")
-    member_links = None
+    member_links, most = None, LEADERS
     while True:
         spots = rest.groupBy(*block, "fine").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-        chosen = spots.groupBy(*block, F.pmod(F.xxhash64("fine"), F.lit(LEADERS)).alias("part")).agg(
+        chosen = spots.groupBy(*block, F.pmod(F.xxhash64("fine"), F.lit(most)).alias("part")).agg(
             F.min_by("first", F.struct(-F.col("n"), F.col("first"))).alias("id")
         )
         leaders = cut_lineage(rest.join(chosen.select("id"), "id", "left_semi").drop("fine"))
@@ -108,6 +108,7 @@ def _lead_crowds(shapes: DataFrame, crowded: DataFrame, tol: float) -> tuple[Dat
         still = cut_lineage(still)
         nodes = nodes.union(rest.join(still, block, "left_anti").drop("fine").select(*nodes.columns))
         rest = cut_lineage(rest.join(still, block, "left_semi"))
+        most *= 2
 
 
 def _links_between_balls(shapes: DataFrame, member_links: DataFrame, found: DataFrame, tol: float) -> DataFrame:

@@ -28,6 +28,7 @@ from treatflow.operators.schema import (
     add_fields, copy_source_id, fill_text, keep_fields, map_fields, prune_to, rename, stamp_constants,
     stamp_provenance, stamp_updated, standardize,
 )
+from treatflow.session import cut_lineage
 from treatflow.sources.readers import merge_layers
 
 PART_IDS = 2**31
@@ -66,7 +67,8 @@ def ingest_activity_layers(layers: Mapping[str, DataFrame], files: Mapping[str,
     merged = copy_source_id(add_fields(merge_layers(tables), TARGET_FIELDS))
     dated = filter_year(prepare_dates(merged, ["DATE_COMPLETED", "DATE_AWARDED"], years[0]), "YEAR_COMP", *years)
     named = to_target_projection(dated).withColumn("NEPA_DOC_NAME", clean_doc_name(F.col("NEPA_DOC_NAME")))
-    return repaired(single_parts(keep_fields(named, ACTIVITY_LAYER_FIELDS, list(TARGET_FIELDS))))
+    # parts of a repaired polygon need no second repair
+    return single_parts(keep_fields(named, ACTIVITY_LAYER_FIELDS, list(TARGET_FIELDS)))
 
 
 def reclassify_activities(df: DataFrame, tiers: Sequence[tuple[DataFrame, str, str, str]], funds: DataFrame) -> DataFrame:
@@ -103,7 +105,8 @@ def crosswalk_flow(layers: Mapping[str, DataFrame], files: Mapping[str, str], st
                    tiers: Sequence[tuple[DataFrame, str, str, str]], funds: DataFrame, run_date: str, modified_by: str,
                    years: tuple[int, int] = (START_YEAR, END_YEAR), tolerance: float = 100.0) -> DataFrame:
     """Ingest, reclassify, flatten and finalize activity layers."""
-    raw = ingest_activity_layers(layers, files, state, run_date, years)
+    # the staged layer: later passes read only the columns they need of the rows that are left
+    raw = cut_lineage(ingest_activity_layers(layers, files, state, run_date, years))
     labelled = reclassify_activities(raw, tiers, funds)
     flat = flatten(labelled, tolerance, ["activity_reclass", "DATE_COMPLETED"], ACTIVITY_STATS)
     return finalize_activities(flat, run_date, modified_by, years)
