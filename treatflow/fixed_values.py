@@ -201,6 +201,9 @@ SLIVER_CHECK_ACRES = 0.05
 SLIVER_COMPACTNESS = 0.025
 TARGET_SRID = 26913
 
+# --- fixed values: file label of the older record, with its completion year -----
+OLDER_FILE_LABEL = "GEOTRACKS_%s_Completed_ForestManagementTreatment"
+
 # --- fixed values: text widths --------------------------------------------------
 COMBINED_TEXT_WIDTH = 5000
 MAPPED_FIELD_WIDTH = 254

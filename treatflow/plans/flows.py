@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from treatflow.fixed_values import (
     ACTIVITY_LAYER_FIELDS, AGENCY_CONSTANTS, AGENCY_FIELD_MAPS, END_YEAR, KEYWORD_RULES, MAPPED_FIELD_WIDTH,
-    MERGE_RENAMES, OLDER_FIELDS, SERVICE_LAYER_FIELDS, SINGLE_CHOICE_COLUMNS, SQ_M_PER_ACRE, START_YEAR,
+    MERGE_RENAMES, OLDER_FIELDS, OLDER_FILE_LABEL, SERVICE_LAYER_FIELDS, SINGLE_CHOICE_COLUMNS, SQ_M_PER_ACRE, START_YEAR,
     TARGET_FIELDS,
 )
 from treatflow.functions.acres import clamped_acres, clamped_acres_by_unit, managed_acres
@@ -199,7 +199,7 @@ def unit_flow(df: DataFrame, run_date: str, modified_by: str, min_year: int = ST
     )
     managed = qa.activity_columns(filled, "ActClass")
     year = F.coalesce(F.col("YEAR_COMP").cast("string"), F.lit("None"))
-    labelled = managed.withColumn("ORGFILE", F.format_string("GEOTRACKS_%s_Completed_ForestManagementTreatment", year))
+    labelled = managed.withColumn("ORGFILE", F.format_string(OLDER_FILE_LABEL, year))
     return keep_fields(stamp_updated(labelled, run_date), list(OLDER_FIELDS))
 
 
