@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from treatflow.llm.common import remainder, text_blocks
 from treatflow.session import cut_lineage
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 BUCKET_TOKENS = 2_000_000
 END, START = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, vocabulary binary, words binary"
