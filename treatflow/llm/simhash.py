@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from treatflow.llm.common import text_chunks
 from treatflow.operators.components import components
-from treatflow.session import cut_lineage
+from treatflow.session import broadcast_if_small, cut_lineage
 
 GENERATOR = 0xAE3  # fixed value: x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 SEED = 42
@@ -259,9 +259,17 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3, doc_id: str =
     """One document of each group, the one of the smallest id (then of the smallest hash of the text)."""
     groups = near_duplicates(docs, shingle, distance, doc_id, text)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    best = groups.groupBy(F.coalesce("component", "fingerprint").alias("g"), F.col("component").isNull().alias("n")).agg(
-        F.min(order).alias("best"))
-    chosen = best.select(F.col("best.doc_id").alias("__id"), F.col("best.key").alias("__key"))
-    kept = docs.withColumn("__text_key", F.xxhash64(text)).join(
-        chosen, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left_semi")
-    return kept.drop("__text_key").dropDuplicates([doc_id])
+    group = [F.coalesce("component", "fingerprint").alias("g"), F.col("component").isNull().alias("n")]
+    rows = cut_lineage(groups.select(*group, order.alias("row")).groupBy("g", "n", "row").agg(F.count(F.lit(1)).alias("times")))
+    best = rows.groupBy("g", "n").agg(F.min("row").alias("best"))
+    placed = rows.join(best, ["g", "n"]).select(
+        F.col("row.doc_id").alias("__id"), F.col("row.key").alias("__key"), (F.col("row") == F.col("best")).alias("stays"), "times")
+    placed = cut_lineage(placed.filter("not stays or times > 1"))
+    # what goes is a small table beside the texts, which stay where they are read
+    keyed = docs.withColumn("__text_key", F.xxhash64(text))
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key"))
+    kept = keyed.join(broadcast_if_small(placed.select("__id", "__key")), same, "left_anti")
+    repeated = placed.filter("stays").select("__id", "__key")
+    if not repeated.isEmpty():
+        kept = kept.union(keyed.join(broadcast_if_small(repeated), same, "left_semi").dropDuplicates([doc_id, "__text_key"]))
+    return kept.drop("__text_key")

@@ -85,14 +85,21 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, max_docs: int, max_chars
 
     Rows with texts over ``max_chars`` are not used for training, so the sample's size is bounded.
     """
-    marks = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("__label_id")).agg(F.max(label).alias("__label"))
-    rows = docs.select(doc_id, text).filter(F.length(text) <= max_chars).join(
-        marks, F.col(doc_id) == F.col("__label_id")).select(F.col(text).alias("text"), "__label", F.xxhash64(doc_id).alias("__order"))
-    found = []
-    for value in (0, 1):
-        part = rows.filter(F.col("__label") == value).orderBy("__order", "text").limit(max_docs).select("text")
-        found += [(r["text"], value) for r in part.toLocalIterator()]
-    return found
+    marks = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("y"))
+    # chosen by narrow rows; then the texts of a bounded number of rows are fetched without a shuffle
+    rows = docs.filter(F.length(text) <= max_chars).select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("key")).join(
+        marks, "id").withColumn("__order", F.xxhash64("id")).distinct()
+    picked = [rows.filter(F.col("y") == y).orderBy("__order", "key").limit(max_docs).collect() for y in (0, 1)]
+    chosen = [(r["id"], r["key"], int(r["y"])) for part in picked for r in part]
+    if not chosen:
+        return []
+    kinds = T.StructType([T.StructField("__label_id", docs.schema[doc_id].dataType), T.StructField("__label_key", T.LongType()),
+                          T.StructField("__label", T.IntegerType())])
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, kinds))
+    found = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(
+        wanted, (F.col("id") == F.col("__label_id")) & (F.xxhash64("text") == F.col("__label_key")))
+    once = {(r["id"], r["text"]): r["__label"] for r in found.select("id", "text", "__label").toLocalIterator()}
+    return [(value, y) for (_, value), y in sorted(once.items())]
 
 
 def train(sample: list[tuple[str, int]], vocabulary: int = 2000, least: int = 3, rounds: int = 300, rate: float = 0.1,
@@ -157,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, max_chars: int
         text: str = "text", label: str = "toxic") -> Model:
     """Train on a bounded sample of labelled rows: ``max_docs`` of each label, of at most ``max_chars``.
 
-    A null text is empty, null or other labels and ids without labels are left out, and of several labels of
+    Null texts, null or other labels and ids without labels are left out, and of several labels of
     one id the highest counts.
     """
     return train([(t or "", y) for t, y in sample_labelled(docs, labels, max_docs, max_chars, doc_id, text, label)])
