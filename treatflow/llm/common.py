@@ -69,4 +69,6 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     """The runs values[s : s + n], one after another."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return values[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
+    places = np.repeat(starts - (ends - lengths), lengths)
+    places += np.arange(total)
+    return values[places]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from treatflow.llm.common import gather, text_chunks
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 # fixed value: the white space characters of the tokenizer's word pattern
 SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -186,7 +186,7 @@ class Encoder:
 
 
 def pack(docs: DataFrame, tokenizer_file: str, ranks_file: str, pattern: str, window: int = 2048, end_id: int = 1,
-         slack: int = 16, block_tokens: int = 1 << 22, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+         slack: int = 16, block_tokens: int = 1 << 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pack all documents into sequences of at most ``window`` tokens; one row per piece, with its ids.
 
     A document is its ids and ``end_id``.  Every task packs what it reads, in blocks of about ``block_tokens``
