@@ -5,13 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from treatflow.fixed_values import KEYWORD_RULES
+from treatflow.fixed_values import KEYWORD_RULES, MERGED_FIELDS
 from treatflow.functions import geometry as geo
 from treatflow.functions import lists, text
 from treatflow.functions.keywords import check_rules, keyword_classes
 from treatflow.operators import classify, crosswalk, funding, overlay, qa, schema
 from treatflow.operators.filters import repaired
-from treatflow.plans.flows import review_merge, single_parts
+from treatflow.plans.flows import merge_qa, review_merge, single_parts
 from treatflow.session import small_table
 from tests.shapes import frame, inside, ring, rng, square, star
 
@@ -131,23 +131,27 @@ FUNDS = [("BIL", "Law (BIL)", "Federal", 0), ("REC", "Recreation, Heritage", "Fe
          ("CONT", "Other", "Federal", 3)]
 
 
-@pytest.mark.parametrize("limit", [1000, 1])
-def test_fund_names_by_map_and_by_join(spark, limit, monkeypatch):
-    if limit == 1:
-        plain = crosswalk.resolve_codes
-        monkeypatch.setattr(funding, "resolve_codes", lambda *a: plain(*a, rows_limit=1))
-    table = small_table(spark, FUNDS, ["fund_code", "fund_source", "fund_type", "line_no"])
+def test_fund_names_and_types(spark):
+    # a lookup row without a code matches nothing
+    table = small_table(spark, [*FUNDS, (None, "Nobody", "State", 4)], ["fund_code", "fund_source", "fund_type", "line_no"])
     codes = [None, "", "BIL", "ZZ", "ZZ,BIL", "A|B", " REC , CONT|BIL,BIL", " , "]
     df = spark.createDataFrame([(i, c) for i, c in enumerate(codes)], "oid int, FUND_CODE string")
-    got = [r["funding_update"] for r in funding.fund_names(df, table, "oid").orderBy("oid").collect()]
+    got = [r["funding_update"] for r in funding.fund_names(df, table).orderBy("oid").collect()]
     assert got == ["No Funding Code", "No Funding Code", "Law (BIL)", "Other", "Law (BIL)", "Joint",
                    "Recreation, Heritage, Law (BIL)", ""]
-    both = funding.fund_source_type(df, table, "oid", "FUND_CODE").orderBy("oid").collect()
+    both = funding.fund_source_type(df, table, "FUND_CODE").orderBy("oid").collect()
     assert [(r["FUND_SOURCE"], r["FUND_TYPE"], r["fund_flag"]) for r in both[:5]] == [
         ("Unknown", "Unknown", False), ("Unknown", "Unknown", False), ("Law (BIL)", "Federal", False),
         ("Unknown", "Unknown", True), ("Unknown, Law (BIL)", "Unknown, Federal", True)]
 
 
+def test_codes_of_rows_with_one_id(spark):
+    table = small_table(spark, [("A", "S", "Federal", 0), ("A", "T", "State", 1)], ["fund_code", "fund_source", "fund_type", "line_no"])
+    df = spark.createDataFrame([(1, "A"), (1, "Z,A")], "oid int, FUNDING string")
+    got = sorted(r["FUND_SOURCE"] for r in funding.fund_source_type(df, table).collect())
+    assert got == ["T", "Unknown, T"]
+
+
 # --- lookups ---------------------------------------------------------------------------
 
 
@@ -188,6 +192,35 @@ def test_review_merge(spark):
     assert got == [(1, "Plant Trees", "classified"), (2, "UNCLASSIFIED", "review"), (3, "Seed", "classified")]
 
 
+def test_review_merge_last_correction_and_its_route(spark):
+    routed = spark.createDataFrame([(i, "PLANT CHECK", "review") for i in (1, 2, 3, 4)], "oid int, activity_reclass string, route string")
+    rows = [(1, "Seed", 1), (1, "Manual", 2), (2, "DELETE", 3), (3, "UNCLASSIFIED", 4), (4, None, 5)]
+    fixed = spark.createDataFrame(rows, "oid int, activity_reclass string, line_no int")
+    got = sorted(tuple(r) for r in review_merge(routed, fixed, ["oid"]).collect())
+    assert got == [(1, "Manual", "classified"), (2, "DELETE", "deleted"), (3, "UNCLASSIFIED", "review"), (4, "PLANT CHECK", "review")]
+
+
+def test_merge_keeps_rows_of_equal_ids_apart(spark):
+    layers = [frame(spark, [(1, square(x, 0, 10))]).withColumns({
+        "MGT_TYPE": F.lit("canopy"), "FUNDING": F.lit(code), "YEAR_COMP": F.lit(2024)}) for x, code in ((0, "A"), (1000, "B"))]
+    parcels = frame(spark, [(1, square(-5, -5, 50)), (2, square(990, -5, 50))], "pid bigint").withColumn(
+        "owner", F.when(F.col("pid") == 1, "West").otherwise("East"))
+    funds = small_table(spark, [("A", "a", "x", 0), ("B", "b", "y", 1)], ["fund_code", "fund_source", "fund_type", "line_no"])
+    out = merge_qa(layers, parcels, "owner", funds)
+    assert out.columns == [*MERGED_FIELDS, "ERROR_FLAG", "qa_flags", "geom"]
+    assert sorted((r["LANDOWNER"], r["FUND_SOURCE"]) for r in out.collect()) == [("East", "b"), ("West", "a")]
+
+
+def test_touching_triangles_do_not_overlap(spark):
+    far = 1e5
+    low = [[[(0.0, 0.0), (far, 0.0), (far, far / 3)]]]
+    high = [[[(0.0, 0.0), (far * 0.7, far * 0.7 / 3), (far, far / 3), (0.0, far)]]]
+    shape = "oid bigint, geom array<array<array<struct<x:double,y:double>>>>"
+    left, right = (spark.createDataFrame([(1, g)], shape) for g in (low, high))
+    pairs = overlay.overlay_acres(left, right.withColumnRenamed("oid", "pid"), ["oid", "pid"], "oid", ["pid"], far)
+    assert pairs.count() == 0
+
+
 def test_single_activity(spark):
     rows = [("Manual", None, "", " "), (None, None, None, None), ("Manual", "Seed", None, None), ("Odd", "", "", ""), ("  ", "", "", "")]
     df = spark.createDataFrame(rows, "CANOPY_MGT string, SURF_MGT string, RXFIRE_MGT string, REFOR_MGT string")

@@ -206,7 +206,6 @@ OLDER_FILE_LABEL = "GEOTRACKS_%s_Completed_ForestManagementTreatment"
 
 # --- fixed values: text widths --------------------------------------------------
 COMBINED_TEXT_WIDTH = 5000
-MAPPED_FIELD_WIDTH = 254
 
 # --- fixed values: keyword rules, tested in this order --------------------------
 KEYWORD_RULES = [

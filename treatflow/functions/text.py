@@ -46,10 +46,11 @@ def project_name(treatment: Column, document: Column) -> Column:
     return F.coalesce(empty_to_null(both), F.lit("Unknown"))
 
 
-def objective_text(description: Column, comment: Column, width: int) -> Column:
-    """Description and comment as one distinct list, cut to the field's width."""
+def objective_text(description: Column, comment: Column, width: int | None = None) -> Column:
+    """Description and comment as one distinct list; whole, unless a caller's target has a ``width``."""
     joined = F.concat(F.coalesce(description, F.lit("")), F.lit("; "), F.coalesce(comment, F.lit("")))
-    return F.substring(distinct_list(F.btrim(joined, F.lit("; "))), 1, width)
+    whole = distinct_list(F.btrim(joined, F.lit("; ")))
+    return whole if width is None else F.substring(whole, 1, width)
 
 
 def provenance(file_name: Column, date_text: str) -> Column:

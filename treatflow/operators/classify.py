@@ -52,15 +52,19 @@ def drop_redundant_delete(df: DataFrame) -> DataFrame:
     return df.filter(~(F.coalesce(F.col("activity_reclass") == DELETE, F.lit(False)) & real))
 
 
-def route(df: DataFrame, label: str = "activity_reclass") -> DataFrame:
-    """``route`` = deleted, review or classified; rows without a label get none.  Class columns go."""
-    where = (
-        F.when(F.col(label) == DELETE, F.lit("deleted"))
-        .when(F.col(label).isin(REVIEW_LABELS), F.lit("review"))
-        .when(F.col(label).isNotNull(), F.lit("classified"))
+def route_of(label: Column) -> Column:
+    """deleted, review or classified; null without a label."""
+    return (
+        F.when(label == DELETE, F.lit("deleted"))
+        .when(label.isin(REVIEW_LABELS), F.lit("review"))
+        .when(label.isNotNull(), F.lit("classified"))
     )
+
+
+def route(df: DataFrame, label: str = "activity_reclass") -> DataFrame:
+    """Add ``route``; class columns go."""
     drop = {c.lower() for c in CLASS_COLUMNS} | {"status"}
-    return df.withColumn("route", where).drop(*[c for c in df.columns if c.lower() in drop])
+    return df.withColumn("route", route_of(F.col(label))).drop(*[c for c in df.columns if c.lower() in drop])
 
 
 def split_routes(df: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from treatflow.functions.strings import key_part, strip
 from treatflow.session import broadcast_if_small, cut_lineage
 
 LOOKUP_ROWS_LIMIT = 10_000
-MAP_ROWS_LIMIT = 1_000
 
 
 def prepare_lookup(lookup: DataFrame, keys: Sequence[str], outputs: Sequence[str]) -> DataFrame:
@@ -125,36 +124,25 @@ def activity_to_type(df: DataFrame, label: str = "activity_reclass") -> DataFram
     )
 
 
-def resolve_codes(df: DataFrame, codes: str, lookup: DataFrame, code: str, values: Sequence[str], id_col: str,
-                  rows_limit: int = MAP_ROWS_LIMIT) -> DataFrame:
+def resolve_codes(df: DataFrame, codes: str, lookup: DataFrame, code: str, values: Sequence[str]) -> DataFrame:
     """Replace an array of codes by an array of structs of the lookup's values, in order.
 
-    An unknown code gives null values.  A lookup of up to ``rows_limit`` rows becomes one map in the
-    plan, so no rows move; a larger one is joined on the exploded codes and gathered again by ``id_col``.
+    Every distinct array is resolved once, by a join of its codes with the lookup, and joined back on the
+    array, so rows need no id.  An unknown code gives a null, a lookup row without a code matches nothing,
+    and of a repeated code the last row wins.
     """
-    # the last row of a repeated code wins
     unique = lookup.groupBy(F.col(code).alias("__code")).agg(
         F.max_by(F.struct(*[F.col(v).alias(v) for v in values]), "line_no").alias("__value")
     )
-    head = unique.limit(rows_limit + 1).collect()
-    if len(head) <= rows_limit:
-        literal = lambda row: F.struct(*[F.lit(row["__value"][v]).cast("string").alias(v) for v in values])
-        if not head:
-            empty = F.struct(*[F.lit(None).cast("string").alias(v) for v in values])
-            return df.withColumn(codes, F.transform(F.col(codes), lambda c: empty))
-        table = F.map_from_arrays(
-            F.array(*[F.lit(r["__code"]) for r in head]), F.array(*[literal(r) for r in head])
-        )
-        return df.withColumn(codes, F.transform(F.col(codes), lambda c: F.try_element_at(table, c)))
-    exploded = df.select(F.col(id_col).alias("__id"), F.posexplode(codes).alias("__pos", "__code"))
+    wanted = df.select(F.col(codes).alias("__codes_key")).filter(F.size("__codes_key") > 0).distinct()
+    exploded = wanted.select("__codes_key", F.posexplode("__codes_key").alias("__pos", "__code"))
     gathered = (
-        exploded.join(unique, "__code", "left")
-        .groupBy("__id")
+        exploded.join(broadcast_if_small(unique), "__code", "left")
+        .groupBy("__codes_key")
         .agg(F.array_sort(F.collect_list(F.struct("__pos", "__value"))).alias("__list"))
-        .select("__id", F.transform("__list", lambda s: s["__value"]).alias("__values"))
+        .select("__codes_key", F.transform("__list", lambda s: s["__value"]).alias("__values"))
     )
-    none = F.col(codes).isNull()
-    joined = df.join(gathered, F.col(id_col) == F.col("__id"), "left")
+    joined = df.join(gathered, F.col(codes) == F.col("__codes_key"), "left")
     kind = gathered.schema["__values"].dataType
     filled = F.coalesce(F.col("__values"), F.array().cast(kind))
-    return joined.withColumn(codes, F.when(~none, filled)).drop("__id", "__values")
+    return joined.withColumn(codes, F.when(F.col(codes).isNotNull(), filled)).drop("__codes_key", "__values")

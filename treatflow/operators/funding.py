@@ -10,7 +10,7 @@ from treatflow.functions.strings import strip
 from treatflow.operators.crosswalk import resolve_codes
 
 
-def fund_names(df: DataFrame, lookup: DataFrame, id_col: str, codes: str = "FUND_CODE") -> DataFrame:
+def fund_names(df: DataFrame, lookup: DataFrame, codes: str = "FUND_CODE") -> DataFrame:
     """``funding_update``: distinct fund names of a code list; ``funding_type`` is always Federal.
 
     The whole text is tried as one key before it is split at commas and bars.  Unknown codes are
@@ -19,7 +19,7 @@ def fund_names(df: DataFrame, lookup: DataFrame, id_col: str, codes: str = "FUND
     blank = F.col(codes).isNull() | (F.col(codes) == "")
     whole = F.array(strip(F.col(codes)))
     with_codes = df.withColumn("__codes", F.concat(whole, tokens(F.col(codes), ",|")))
-    named = resolve_codes(with_codes, "__codes", lookup, "fund_code", ["fund_source"], id_col)
+    named = resolve_codes(with_codes, "__codes", lookup, "fund_code", ["fund_source"])
     names = F.transform(F.col("__codes"), lambda s: F.coalesce(s["fund_source"], F.lit("Other")))
     known_whole = F.get(F.col("__codes"), F.lit(0))["fund_source"].isNotNull()
     chosen = F.when(known_whole, F.slice(names, 1, 1)).otherwise(
@@ -33,12 +33,12 @@ def fund_names(df: DataFrame, lookup: DataFrame, id_col: str, codes: str = "FUND
     ).drop("__codes")
 
 
-def fund_source_type(df: DataFrame, lookup: DataFrame, id_col: str, funding: str = "FUNDING") -> DataFrame:
+def fund_source_type(df: DataFrame, lookup: DataFrame, funding: str = "FUNDING") -> DataFrame:
     """FUND_SOURCE, FUND_TYPE and ``fund_flag`` of a list split at commas and slashes."""
     unknown = F.lit("Unknown")
     blank = F.coalesce(strip(F.col(funding)), F.lit("")) == ""
     with_codes = df.withColumn("__codes", tokens(F.col(funding), ",/"))
-    found = resolve_codes(with_codes, "__codes", lookup, "fund_code", ["fund_source", "fund_type"], id_col)
+    found = resolve_codes(with_codes, "__codes", lookup, "fund_code", ["fund_source", "fund_type"])
 
     def text(field: str):
         return F.array_join(

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from treatflow.fixed_values import SQ_M_PER_ACRE
 from treatflow.functions.geometry import bounds, cell_range, edges
 
-SMALLEST_OVERLAP_SQ_M = 1e-6
+# a millimetre: the accuracy of coordinates
+TOLERANCE_M = 0.001
 
 
 def grid_cells(df: DataFrame, geom: str, size: float) -> DataFrame:
@@ -48,7 +49,8 @@ def overlap_pieces(left: DataFrame, left_keep: list[str], right: DataFrame, righ
     Pairs meet in grid cells.  Of all cells two polygons share, only those in the row of the lower
     corner of their common box count, one per column, so no pair is seen twice and none has to be
     de-duplicated.  Within a column the overlap is the sum over pairs of edges of
-    ``s_p * s_q * integral(min(y_p, y_q) - base)``, exact for simple polygons with holes.
+    ``s_p * s_q * integral(min(y_p, y_q) - base)``, exact for simple polygons with holes.  ``reach`` is
+    half the outline of the common box.
     """
     p = _edge_cells(left, [F.col(c) for c in left_keep], geom, size, "p")
     q = _edge_cells(right, [F.col(c) for c in right_keep], geom, size, "q")
@@ -59,16 +61,18 @@ def overlap_pieces(left: DataFrame, left_keep: list[str], right: DataFrame, righ
     )
     keys = [*left_keep, *right_keep]
     base = F.col("bp.ymin")
-    one = shared.select(*keys, "cx", base.alias("base"), "eq", F.explode("ep").alias("p"))
-    two = one.select(*keys, "cx", "base", "p", F.explode("eq").alias("q"))
+    reach = (F.least("bp.xmax", "bq.xmax") - F.greatest("bp.xmin", "bq.xmin")
+             + F.least("bp.ymax", "bq.ymax") - F.greatest("bp.ymin", "bq.ymin"))
+    one = shared.select(*keys, "cx", base.alias("base"), reach.alias("reach"), "eq", F.explode("ep").alias("p"))
+    two = one.select(*keys, "cx", "base", "reach", "p", F.explode("eq").alias("q"))
     low = F.col("cx") * F.lit(size)
     ranged = two.select(
-        *keys, "base", "p", "q",
+        *keys, "base", "reach", "p", "q",
         F.greatest("p.x1", "q.x1", low).alias("lo"), F.least("p.x2", "q.x2", low + size).alias("hi"),
     ).filter(F.col("lo") < F.col("hi"))
     lo, hi = F.col("lo"), F.col("hi")
     heights = ranged.select(
-        *keys, "lo", "hi", (F.col("p.s") * F.col("q.s")).alias("s"),
+        *keys, "reach", "lo", "hi", (F.col("p.s") * F.col("q.s")).alias("s"),
         (_y("p", lo) - F.col("base")).alias("p0"), (_y("p", hi) - F.col("base")).alias("p1"),
         (_y("q", lo) - F.col("base")).alias("q0"), (_y("q", hi) - F.col("base")).alias("q1"),
     )
@@ -77,15 +81,19 @@ def overlap_pieces(left: DataFrame, left_keep: list[str], right: DataFrame, righ
     t = d0 / (d0 - d1)
     yc = F.col("p0") + t * (F.col("p1") - F.col("p0"))
     mean = F.when(d0 * d1 < 0, ((m0 + yc) * t + (yc + m1) * (1 - t)) / 2).otherwise((m0 + m1) / 2)
-    return heights.select(*keys, (F.col("s") * mean * (hi - lo)).alias("piece"))
+    return heights.select(*keys, "reach", (F.col("s") * mean * (hi - lo)).alias("piece"))
 
 
 def overlay_acres(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_keep: list[str],
-                  size: float) -> DataFrame:
-    """Acres of overlap per ``keys``, for keys that overlap at all."""
+                  size: float, tolerance: float = TOLERANCE_M) -> DataFrame:
+    """Acres of overlap per ``keys``, for keys that overlap at all.
+
+    An overlap thinner than ``tolerance`` (in metres) along the common box is a shared border: polygons that
+    touch on a long edge have a rounding error that grows with its length.
+    """
     pieces = overlap_pieces(left, [left_id], right, right_keep, size)
-    summed = pieces.groupBy(*keys).agg(F.sum("piece").alias("__sq_m"))
-    return summed.filter(F.col("__sq_m") > SMALLEST_OVERLAP_SQ_M).select(
+    summed = pieces.groupBy(*keys).agg(F.sum("piece").alias("__sq_m"), F.max("reach").alias("__reach"))
+    return summed.filter(F.col("__sq_m") > F.col("__reach") * tolerance).select(
         *keys, (F.col("__sq_m") / SQ_M_PER_ACRE).alias("acres")
     )
 
@@ -97,9 +105,13 @@ def largest_owner(owner_acres: DataFrame, left_id: str, owner: str) -> DataFrame
     return owner_acres.groupBy(left_id).agg(F.min_by(owner, rank).alias("__owner"))
 
 
-def majority_owner(features: DataFrame, parcels: DataFrame, left_id: str, owner: str, size: float,
+def majority_owner(features: DataFrame, parcels: DataFrame, left_id: str, owner: str, size: float | None = None,
                    target: str = "LANDOWNER") -> DataFrame:
-    """Set ``target`` to the owner with most overlap; features on no parcel keep their value."""
+    """Set ``target`` to the owner with most overlap; features on no parcel keep their value.
+
+    Without a cell ``size`` the typical width of a parcel is taken.
+    """
+    size = typical_width(parcels) if size is None else size
     shares = overlay_acres(features, parcels, [left_id, owner], left_id, [owner], size)
     best = largest_owner(shares, left_id, owner).withColumnRenamed(left_id, "__id")
     old = F.col(target) if target in features.columns else F.lit(None).cast("string")

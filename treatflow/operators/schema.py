@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treatflow.fixed_values import MAPPED_FIELD_WIDTH, SYSTEM_FIELDS
+from treatflow.fixed_values import SYSTEM_FIELDS
 from treatflow.functions.lists import clean_list
 from treatflow.functions.strings import blank_to_null
 from treatflow.functions.text import provenance
@@ -79,14 +79,10 @@ def stamp_constants(df: DataFrame, constants: Mapping[str, str]) -> DataFrame:
     )
 
 
-def map_fields(df: DataFrame, field_map: Mapping[str, str], width: int = MAPPED_FIELD_WIDTH) -> DataFrame:
-    """Target field = cleaned list of the source field, cut to the field's width."""
-    return df.withColumns(
-        {
-            target: F.substring(F.array_join(clean_list(F.col(source).cast("string")), "; "), 1, width)
-            for target, source in field_map.items()
-        }
-    )
+def map_fields(df: DataFrame, field_map: Mapping[str, str], width: int | None = None) -> DataFrame:
+    """Target field = cleaned list of the source field; whole, unless a caller's target has a ``width``."""
+    whole = {t: F.array_join(clean_list(F.col(s).cast("string")), "; ") for t, s in field_map.items()}
+    return df.withColumns(whole if width is None else {t: F.substring(v, 1, width) for t, v in whole.items()})
 
 
 def stamp_provenance(df: DataFrame, file_name: str | Column, date_text: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treatflow.fixed_values import (
-    ACTIVITY_LAYER_FIELDS, AGENCY_CONSTANTS, AGENCY_FIELD_MAPS, END_YEAR, KEYWORD_RULES, MAPPED_FIELD_WIDTH,
+    ACTIVITY_LAYER_FIELDS, AGENCY_CONSTANTS, AGENCY_FIELD_MAPS, END_YEAR, KEYWORD_RULES, MERGED_FIELDS,
     MERGE_RENAMES, OLDER_FIELDS, OLDER_FILE_LABEL, SERVICE_LAYER_FIELDS, SINGLE_CHOICE_COLUMNS, SQ_M_PER_ACRE, START_YEAR,
     TARGET_FIELDS,
 )
@@ -18,17 +18,17 @@ from treatflow.functions.geometry import acres, reproject
 from treatflow.functions.lists import distinct_list
 from treatflow.functions.text import clean_doc_name, objective_text, project_name
 from treatflow.operators import qa
-from treatflow.operators.classify import classify_treatments, split_routes
+from treatflow.operators.classify import classify_treatments, route_of, split_routes
 from treatflow.operators.crosswalk import activity_to_type, crosswalk, majority_fallback, tiered_crosswalk
 from treatflow.operators.filters import drop_excluded, drop_slivers, filter_year, region, repaired
 from treatflow.operators.footprints import flatten
 from treatflow.operators.funding import fund_names, fund_source_type
 from treatflow.operators.overlay import majority_owner
 from treatflow.operators.schema import (
-    add_fields, copy_source_id, fill_text, keep_fields, map_fields, prune_to, rename, stamp_constants,
+    add_fields, copy_source_id, fill_text, final_projection, keep_fields, map_fields, prune_to, rename, stamp_constants,
     stamp_provenance, stamp_updated, standardize,
 )
-from treatflow.session import cut_lineage
+from treatflow.session import broadcast_if_small, cut_lineage
 from treatflow.sources.readers import merge_layers
 
 PART_IDS = 2**31
@@ -72,7 +72,7 @@ def ingest_activity_layers(layers: Mapping[str, DataFrame], files: Mapping[str,
 
 
 def reclassify_activities(df: DataFrame, tiers: Sequence[tuple[DataFrame, str, str, str]], funds: DataFrame) -> DataFrame:
-    funded = fund_names(df, funds, "oid")
+    funded = fund_names(df, funds)
     labelled = tiered_crosswalk(funded, tiers, "activity_reclass")
     return drop_excluded(majority_fallback(labelled, "ACTIVITY", "activity_reclass"), "activity_reclass")
 
@@ -159,17 +159,21 @@ def review_flow(notes: DataFrame, dates: Sequence[str], rules: Sequence[tuple[st
 
 
 def review_merge(routed: DataFrame, corrected: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Corrected rows (keys and a new ``activity_reclass``) replace their review rows as classified ones."""
-    new = corrected.select(*keys, F.col("activity_reclass").alias("__label"))
-    review = routed.filter(F.col("route") == "review")
-    others = routed.filter(F.col("route") != "review")
-    untouched = review.join(new, list(keys), "left_anti")
-    fixed = (
-        review.join(new, list(keys))
-        .withColumns({"activity_reclass": F.col("__label"), "route": F.lit("classified")})
-        .drop("__label")
-    )
-    return merge_layers([others, untouched, fixed])
+    """Review rows with a correction (keys and a new ``activity_reclass``) get its label and that label's route.
+
+    Of several corrections of a key the last one by ``line_no`` counts, or the largest label where there is
+    no ``line_no``; a correction without a label changes nothing.
+    """
+    order = F.col("line_no") if "line_no" in corrected.columns else F.lit(0)
+    last = F.max(F.struct(order.alias("n"), F.col("activity_reclass").alias("label")))["label"]
+    new = corrected.filter(F.col("activity_reclass").isNotNull()).groupBy(*keys).agg(last.alias("__label"))
+    joined = routed.join(broadcast_if_small(new), list(keys), "left")
+    fixed = (F.col("route") == "review") & F.col("__label").isNotNull()
+    changed = {
+        "activity_reclass": F.when(fixed, F.col("__label")).otherwise(F.col("activity_reclass")),
+        "route": F.when(fixed, route_of(F.col("__label"))).otherwise(F.col("route")),
+    }
+    return joined.select([changed[c].alias(c) if c in changed else F.col(c) for c in routed.columns])
 
 
 # --- older record, matched at 25 m ------------------------------------------------
@@ -190,7 +194,7 @@ def unit_flow(df: DataFrame, run_date: str, modified_by: str, min_year: int = ST
     filled = stamped.withColumns(
         {
             "PRJ_NAME": F.col("NAME_REDACT"),
-            "PRJ_OBJECT": objective_text(F.col("DESCRIPTION_REDACT"), F.col("COMMENT_REDACT"), MAPPED_FIELD_WIDTH),
+            "PRJ_OBJECT": objective_text(F.col("DESCRIPTION_REDACT"), F.col("COMMENT_REDACT")),
             "FUNDING": distinct_list(F.col("FUNDING_SO")),
             "ACRES_GIS": gis,
             "ACRES_MGT": clamped_acres_by_unit(F.col("UNIT_OF_ME"), F.col("COMPLETED_"), gis),
@@ -206,18 +210,26 @@ def unit_flow(df: DataFrame, run_date: str, modified_by: str, min_year: int = ST
 # --- merge ------------------------------------------------------------------------
 
 
-def merge_qa(layers: Sequence[DataFrame], parcels: DataFrame, owner: str, funds: DataFrame, cell_size: float,
-             id_col: str = "oid") -> DataFrame:
-    """Merge agency tables, set the majority owner, normalize and flag."""
-    merged = repaired(merge_layers([rename(layer, MERGE_RENAMES) for layer in layers]))
-    owned = majority_owner(merged, parcels, id_col, owner, cell_size)
+def merge_qa(layers: Sequence[DataFrame], parcels: DataFrame, owner: str, funds: DataFrame,
+             cell_size: float | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Merge agency tables, set the majority owner, normalize and flag; one record of ``MERGED_FIELDS`` per row.
+
+    Agencies number their rows on their own, so every merged row gets a new id; it is written with the rows
+    before anything joins on it.  ``keep`` names further columns to carry along; ``ERROR_FLAG`` and
+    ``qa_flags`` follow the fields, the polygon comes last.
+    """
+    merged = add_fields(merge_layers([rename(layer, MERGE_RENAMES) for layer in layers]), {**MERGED_FIELDS, "FUNDING": "string"})
+    funded = fund_source_type(repaired(merged), funds)
+    staged = cut_lineage(funded.withColumn("__row", F.monotonically_increasing_id()))
+    owned = majority_owner(staged, parcels, "__row", owner, cell_size)
     checks = {"NO MGT_TYPE": qa.no_mgt_type(F.col("__mgt"))}
     typed = owned.withColumn("__mgt", F.col("MGT_TYPE")).withColumn("MGT_TYPE", qa.normalized_mgt_type(F.col("MGT_TYPE")))
     if all(c in typed.columns for c in SINGLE_CHOICE_COLUMNS):
         typed = qa.single_activity(typed)
         checks["ACTIVITY ERROR"] = F.col("activity_error")
-    funded = fund_source_type(typed, funds, id_col)
     checks["FUND_FLAG"] = F.col("fund_flag")
     checks["YEAR FLAG"] = qa.year_out_of_range(F.col("YEAR_COMP"))
-    flagged = qa.qa_flags(funded, checks).drop("__mgt", "activity_error", "fund_flag")
-    return fill_text(flagged).withColumn("ACRES_GIS", acres("geom"))
+    filled = fill_text(qa.qa_flags(typed, checks)).withColumn("ACRES_GIS", acres("geom"))
+    kinds = {f.name: f.dataType.simpleString() for f in filled.schema.fields}
+    carried = {c: kinds[c] for c in [*keep, "ERROR_FLAG", "qa_flags"]}
+    return final_projection(filled, {**MERGED_FIELDS, **carried})

@@ -85,7 +85,7 @@ SERVICE_SQL = f"""
             lambda v: v IS NOT NULL AND trim(v) NOT IN ('', 'None', 'DELETE', 'UNCLASSIFIED', 'Null'))) > 0)),
     {cleaned_cte('src', 'Name', 'n1', 'nm')}, {cleaned_cte('n1', 'FundingSource', 'n2', 'fs')}
     SELECT s.oid AS SourceOID, CAST(s.yr AS INTEGER) AS YEAR_COMP, k.activity_reclass, k.Keyword, {ROUTE} AS route,
-           a.act AS ACTIVITY, a.mgt AS MGT_TYPE, array_to_string(s.nm, '; ') AS PRJ_NAME, substr(array_to_string(s.fs, '; '), 1, 254) AS FUND_SOURCE,
+           a.act AS ACTIVITY, a.mgt AS MGT_TYPE, array_to_string(s.nm, '; ') AS PRJ_NAME, array_to_string(s.fs, '; ') AS FUND_SOURCE,
            s.FundingAgency AS AGENCY_C, round(s.w * s.h / {ACRE}, 4) AS ACRES_GIS
     FROM kept k JOIN n2 s ON k.oid = s.oid LEFT JOIN {TYPED} ON k.activity_reclass = a.k"""
 
@@ -103,14 +103,17 @@ def l2_keyword_flow(spark, sf):
 
 
 ROUTED = f"routed AS (SELECT oid, activity_reclass AS label, Keyword, {ROUTE} AS route FROM kept)"
-FIXED = """fixed AS (SELECT oid, Keyword, CASE WHEN c THEN 'Plant Trees' ELSE label END AS activity_reclass,
-        CASE WHEN c THEN 'classified' ELSE route END AS route
+FIXED = """fixed AS (SELECT oid, Keyword, CASE WHEN c THEN CASE WHEN oid % 9 = 0 THEN 'DELETE' ELSE 'Plant Trees' END ELSE label END AS activity_reclass,
+        CASE WHEN c THEN CASE WHEN oid % 9 = 0 THEN 'deleted' ELSE 'classified' END ELSE route END AS route
         FROM (SELECT *, route = 'review' AND oid % 3 = 0 AND coalesce(Keyword, '') = 'plate' AS c FROM routed) r)"""
 
 
 def corrections(df):
-    """A reviewer's table: some of the records of one review keyword get their label."""
-    return df.filter(F.col("oid") % 3 == 0).select("oid", F.lit("plate").alias("Keyword"), F.lit("Plant Trees").alias("activity_reclass"))
+    """A reviewer's table: some of the records of one review keyword get their label, each at the second try."""
+    ninth = F.array(F.lit("Plant Trees"), F.lit("DELETE"))
+    labels = F.when(F.col("oid") % 9 == 0, ninth).otherwise(F.array(F.lit("Manual"), F.lit("Plant Trees")))
+    chosen = df.filter(F.col("oid") % 3 == 0)
+    return chosen.select("oid", F.lit("plate").alias("Keyword"), F.posexplode(labels).alias("line_no", "activity_reclass"))
 
 
 @query("l3_review_flow", oracle(f"""
@@ -175,10 +178,15 @@ def l4_unit_flow(spark, sf):
     JOIN funded f ON s.oid = f.oid LEFT JOIN best b ON s.oid = b.oid""", "merged", "parcels", "codes"))
 def l5_merge_qa(spark, sf):
     merged = view(spark, sf, "merged")
-    layers = [merged.filter(F.col("k") < 2), merged.filter(F.col("k") == 2).withColumnRenamed("REFOR_MGT", "REFOREST")]
+    # two tables that number their rows alike: ``record`` tells rows apart, ``oid`` does not
+    numbered = merged.withColumnRenamed("oid", "record").withColumn("oid", F.floor(F.col("record") / 2))
+    layers = [
+        numbered.filter(F.col("record") % 2 == 0),
+        numbered.filter(F.col("record") % 2 == 1).withColumnRenamed("REFOR_MGT", "REFOREST"),
+    ]
     funds = lookup(spark, FUNDS, "fund_code", "fund_source", "fund_type")
-    out = flows.merge_qa(layers, view(spark, sf, "parcels"), "owner", funds, CELL)
+    out = flows.merge_qa(layers, view(spark, sf, "parcels"), "owner", funds, CELL, ["record"])
     return out.select(
-        "oid", "LANDOWNER", "MGT_TYPE", "ACTIVITY", "FUND_SOURCE", "FUND_TYPE", "YEAR_COMP",
+        F.col("record").alias("oid"), "LANDOWNER", "MGT_TYPE", "ACTIVITY", "FUND_SOURCE", "FUND_TYPE", "YEAR_COMP",
         F.round("ACRES_GIS", 4).alias("ACRES_GIS"), "ERROR_FLAG",
     )

@@ -152,12 +152,12 @@ def cleaned_cte(source, column, name="cleaned", alias="vals"):
 
 
 @query("p6_map_fields", oracle(
-    f"WITH {cleaned_cte('codes', 'names')} SELECT oid, substr(array_to_string(vals, '; '), 1, 20) AS PRJ_NAME, '' || array_to_string(vals, '; ') AS PRJ_OBJECT FROM cleaned",
+    f"WITH {cleaned_cte('codes', 'names')} SELECT oid, array_to_string(vals, '; ') AS PRJ_NAME, substr(array_to_string(vals, '; '), 1, 20) AS PRJ_OBJECT FROM cleaned",
     "codes"))
 def p6_map_fields(spark, sf):
     df = view(spark, sf, "codes").select("oid", "names")
-    short = schema.map_fields(df, {"PRJ_NAME": "names"}, 20)
-    return schema.map_fields(short, {"PRJ_OBJECT": "names"}).drop("names")
+    whole = schema.map_fields(df, {"PRJ_NAME": "names"})
+    return schema.map_fields(whole, {"PRJ_OBJECT": "names"}, 20).drop("names")
 
 
 @query("p7_provenance", oracle("""
@@ -344,7 +344,7 @@ FUND_CTE = f"""fund AS (SELECT code, arg_max(src, n) AS src, arg_max(typ, n) AS
 def x5_fund_codes(spark, sf):
     df = view(spark, sf, "codes").select("oid", "fund_code")
     table = lookup(spark, FUNDS, "fund_code", "fund_source", "fund_type")
-    return funding.fund_names(df, table, "oid", "fund_code").drop("fund_code")
+    return funding.fund_names(df, table, "fund_code").drop("fund_code")
 
 
 FUND_TYPE_CTE = f"""{FUND_CTE},
@@ -363,7 +363,7 @@ FUND_TYPE_CTE = f"""{FUND_CTE},
 def x6_fund_source_type(spark, sf):
     df = view(spark, sf, "codes").select("oid", "fund_code")
     table = lookup(spark, FUNDS, "fund_code", "fund_source", "fund_type")
-    return funding.fund_source_type(df, table, "oid", "fund_code").drop("fund_code")
+    return funding.fund_source_type(df, table, "fund_code").drop("fund_code")
 
 
 @query("x7_clean_list", oracle(
@@ -404,10 +404,10 @@ def x11_project_name(spark, sf):
 
 
 @query("x12_objective", oracle(f"""
-    SELECT oid, substr({distinct_list_sql("trim(coalesce(names, '') || '; ' || coalesce(doc_name, ''), '; ')")}, 1, 40) AS PRJ_OBJECT FROM codes""", "codes"))
+    SELECT oid, {distinct_list_sql("trim(coalesce(names, '') || '; ' || coalesce(doc_name, ''), '; ')")} AS PRJ_OBJECT FROM codes""", "codes"))
 def x12_objective(spark, sf):
     return view(spark, sf, "codes").select(
-        "oid", text.objective_text(F.col("names"), F.col("doc_name"), 40).alias("PRJ_OBJECT")
+        "oid", text.objective_text(F.col("names"), F.col("doc_name")).alias("PRJ_OBJECT")
     )
 
 
