@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST = {"assign": 12, "access": 18}
 TOKEN = re.compile(r"[A-Za-z0-9_+/-]{12,}={0,2}")
+WORD = re.compile(r"[A-Za-z0-9_+/-]{6,}")
 # cheap tests by which a text has any of them; wider than the patterns
 MAY_HOLD = {"assign": r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", "access": "AKIA[A-Z0-9]", "hex": "[0-9a-f]{16}"}
 
@@ -35,6 +37,13 @@ CODES[ord(EDGE)] = 0
 CODES[np.frombuffer(ALPHABET.encode(), dtype=np.uint8)] = np.arange(1, len(ALPHABET) + 1)
 # alphabets of the made random strings
 MADE = ("0123456789abcdef", ALPHABET[:26] + "234567", ALPHABET[:62], ALPHABET[:62] + "+/", ALPHABET[:62] + "_-")
+# words of the made identifiers, joined in the usual styles
+PARTS = ("get set is has to of by add new max min num user name id key list map size count index item value node data file path "
+         "time date test run start stop init load save read write open close send call make build parse check update delete create "
+         "error event state config option default retry request response handler manager service client server session query "
+         "table column row field type class object string buffer").split()
+STYLES = (lambda w: w[0] + "".join(x.title() for x in w[1:]), lambda w: "".join(x.title() for x in w), "_".join, "-".join, "/".join,
+          lambda w: "_".join(w).upper(), lambda w: "_".join(w) + str(len(w) * 7))
 CHUNK_BYTES = 4 << 20
 SPAN = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                                  T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]))
@@ -55,20 +64,20 @@ def base_spans(text: str, kinds: tuple[str, ...] = KINDS[:3]) -> list[Span]:
     return sorted(found)
 
 
-def other_tokens(text: str, base: list[Span]) -> list[Span]:
-    """Long tokens that no span of a fixed pattern holds whole."""
-    tokens = [(m.start(), 3, m.end(), m[0]) for m in TOKEN.finditer(text)]
+def other_tokens(text: str, base: list[Span], pattern: re.Pattern) -> list[Span]:
+    """Tokens that no span of a fixed pattern holds whole."""
+    tokens = [(m.start(), 3, m.end(), m[0]) for m in pattern.finditer(text)]
     return [t for t in tokens if not any(b[0] <= t[0] and t[2] <= b[2] for b in base)] if base else tokens
 
 
-def scanned(texts: pa.Array) -> Iterator[tuple[str, list[Span], list[Span]]]:
+def scanned(texts: pa.Array, pattern: re.Pattern = TOKEN) -> Iterator[tuple[str, list[Span], list[Span]]]:
     """(text, base spans, other tokens) of each text; null is empty."""
     texts = texts.fill_null("")
     may = {k: pc.match_substring_regex(texts, p).to_pylist() for k, p in MAY_HOLD.items()}
     for i, value in enumerate(texts):
         text = value.as_py()
         base = base_spans(text, tuple(k for k in may if may[k][i]))
-        yield text, base, other_tokens(text, base)
+        yield text, base, other_tokens(text, base, pattern)
 
 
 @dataclass
@@ -90,20 +99,28 @@ class Model:
         return (sums[starts + lengths + 1] - sums[starts]).tolist()
 
 
-def made_samples(n: int, seed: int = 11) -> list[str]:
+def made_strings(n: int, seed: int = 11) -> list[str]:
     """Random strings of 12 to 44 characters over the usual alphabets of keys."""
     rng = np.random.default_rng(seed)
-    return ["".join(rng.choice(list(MADE[i % len(MADE)]), rng.integers(12, 45))) for i in range(n)]
+    draws = rng.integers(0, 1 << 30, (n, 44))
+    return ["".join(MADE[i % len(MADE)][d % len(MADE[i % len(MADE)])] for d in row[:12 + i // len(MADE) % 33])
+            for i, row in enumerate(draws.tolist())]
+
+
+def made_identifiers(n: int, seed: int = 12) -> list[str]:
+    """Two to four words joined as programmers and file systems do."""
+    draws = np.random.default_rng(seed).integers(0, len(PARTS), (n, 4)).tolist()
+    return [STYLES[i % len(STYLES)]([PARTS[d] for d in row[:2 + i // len(STYLES) % 3]]) for i, row in enumerate(draws)]
 
 
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(``value``, ``label``) from all texts: values of the fixed patterns are random strings (1), other long tokens are
-    ordinary identifiers (0).  Repeats within a batch are left out at once."""
+    """(``value``, ``label``) from all texts: values of the fixed patterns are random strings (1), other tokens of at
+    least six characters are ordinary identifiers (0).  Repeats within a batch are left out at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, "text", CHUNK_BYTES):
             found: dict[str, int] = {}
-            for _, base, tokens in scanned(chunk.column("text")):
+            for _, base, tokens in scanned(chunk.column("text"), WORD):
                 found.update((t[3], found.get(t[3], 0)) for t in tokens)
                 found.update((b[3], 1) for b in base)
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int32())], ["value", "label"])
@@ -124,9 +141,8 @@ def smoothed(counts: np.ndarray) -> np.ndarray:
 def train(grams: list[tuple[int, str, int]]) -> Model:
     """The model of counted grams (label, three characters, count)."""
     counts = np.zeros((2, SIZE, SIZE, SIZE))
-    for label, gram, n in grams:
-        a, b, c = CODES[np.frombuffer(gram.encode("ascii", "replace"), dtype=np.uint8)]
-        counts[label, a, b, c] += n
+    codes = CODES[np.frombuffer("".join(g for _, g, _ in grams).encode("ascii", "replace"), dtype=np.uint8)].reshape(-1, 3)
+    np.add.at(counts, (np.array([y for y, _, _ in grams], dtype=np.int64), *codes.T), [n for _, _, n in grams])
     return Model((np.log(smoothed(counts[1])) - np.log(smoothed(counts[0]))).astype(np.float32))
 
 
@@ -134,8 +150,9 @@ def fit(samples: DataFrame, made: int = 20_000, value: str = "value", label: str
     """Character models of order two from labelled samples, 1 for random strings and 0 for ordinary identifiers.
 
     Every distinct value counts once, with its highest label; null values and other labels are left out.  ``made``
-    random strings from a fixed seed join label 1, so that kinds of keys the samples lack are known, too.  All
-    samples are counted, in Spark; what comes to the driver are counts of three-character grams, at most 2 * 70^3.
+    random strings and as many identifiers of common words, from fixed seeds, join them, so that kinds of keys and names that the
+    samples lack are known, too.  All samples are counted, in Spark; what comes to the driver are counts of
+    three-character grams, at most 2 * 70^3.
     """
     known = samples.filter(F.col(value).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(value).alias("v")).agg(
         F.max(label).cast("int").alias("y"))
@@ -143,8 +160,9 @@ def fit(samples: DataFrame, made: int = 20_000, value: str = "value", label: str
     padded = known.select("y", F.concat(F.lit(EDGE * 2), F.regexp_replace("v", everything, OTHER), F.lit(EDGE)).alias("v"))
     grams = padded.select("y", F.explode(F.expr("transform(sequence(1, length(v) - 2), i -> substr(v, i, 3))")).alias("g"))
     counted = [(r["y"], r["g"], r["n"]) for r in grams.groupBy("y", "g").agg(F.count(F.lit(1)).alias("n")).collect()]
-    strings = [EDGE * 2 + s + EDGE for s in made_samples(made)]
-    counted += [(1, s[i:i + 3], 1) for s in strings for i in range(len(s) - 2)]
+    for y, values in ((1, made_strings(made)), (0, made_identifiers(made))):
+        strings = [EDGE * 2 + v + EDGE for v in values]
+        counted += [(y, gram, n) for gram, n in Counter(v[i:i + 3] for v in strings for i in range(len(v) - 2)).items()]
     return train(counted)
 
 
