@@ -43,13 +43,32 @@ def test_near_identical_pairs(spark):
 
 
 def test_near_identical_crowded_block(spark, monkeypatch):
-    monkeypatch.setattr(footprints, "CROWD", 3)
-    monkeypatch.setattr(footprints, "LEADERS", 2)
+    monkeypatch.setattr(footprints, "HUBS", 2)
     for seed, size in ((2, 30), (4, 90)):
         rows = near_rows(seed, 6, 9, 150, size)
         assert found(spark, rows, 100.0) == brute_groups(rows, 100.0)
 
 
+def test_shapes_of_different_boxes_do_not_meet(spark, monkeypatch):
+    """Concentric rectangles have one mean vertex, but no two of them are candidates."""
+    monkeypatch.setattr(footprints, "_boxes_within", lambda tol: F.lit(True))
+    monkeypatch.setattr(footprints, "within_tolerance", lambda a, b, tol: F.lit(True))
+    rows = [(i, square(-700.0 * i, -700.0 * i, 1400.0 * i)) for i in range(1, 801)]
+    assert found(spark, rows, 100.0) == {}
+
+
+def test_crowd_of_variants_meets_hubs_only(spark, monkeypatch):
+    """1,500 jittered copies of one shape: some tens of comparisons each, not all pairs, and one group."""
+    counted = []
+    original = footprints._links
+    monkeypatch.setattr(footprints, "_links", lambda *a: counted.append(original(*a)) or counted[-1])
+    r = rng(5)
+    base = star(r, 0, 0, 400, n=12)
+    rows = [(i, jitter(r, base, 30)) for i in range(1500)]
+    assert found(spark, rows, 100.0) == {i: 0 for i in range(1500)}
+    assert sum(links.count() for links in counted) < 1500 * 100
+
+
 def test_chain_is_one_group_and_copies_count_once(spark):
     rows = [(i, square(80.0 * i, 0, 500)) for i in range(1, 12)] + [(100 + i, square(5e4, 0, 300)) for i in range(50)]
     rows += [(200, square(9e4, 0, 300))]

@@ -207,7 +207,8 @@ def test_merge_keeps_rows_of_equal_ids_apart(spark):
         "owner", F.when(F.col("pid") == 1, "West").otherwise("East"))
     funds = small_table(spark, [("A", "a", "x", 0), ("B", "b", "y", 1)], ["fund_code", "fund_source", "fund_type", "line_no"])
     out = merge_qa(layers, parcels, "owner", funds)
-    assert out.columns == [*MERGED_FIELDS, "ERROR_FLAG", "qa_flags", "geom"]
+    assert out.columns == [*MERGED_FIELDS, "ORGID", "ERROR_FLAG", "qa_flags", "geom"]
+    assert sorted((r["ORGID"], r["LANDOWNER"]) for r in out.collect()) == [(1, "West"), (2, "East")]
     assert sorted((r["LANDOWNER"], r["FUND_SOURCE"]) for r in out.collect()) == [("East", "b"), ("West", "a")]
 
 

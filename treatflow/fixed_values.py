@@ -176,6 +176,7 @@ AGENCY_FIELD_MAPS = {
 # --- fixed values: labels with a meaning of their own -------------------------
 SKIP, EXCLUDE, DELETE, UNCLASSIFIED = "SKIP", "EXCLUDE", "DELETE", "UNCLASSIFIED"
 REVIEW_LABELS = ["UNCLASSIFIED", "TREE CHECK", "PLANT CHECK"]
+ROUTES = ["deleted", "review", "classified"]
 SWEEP_METHODS = ["Mechanical", "Removal"]
 
 # --- fixed values: null-like words, per place ----------------------------------
@@ -205,7 +206,6 @@ TARGET_SRID = 26913
 OLDER_FILE_LABEL = "GEOTRACKS_%s_Completed_ForestManagementTreatment"
 
 # --- fixed values: text widths --------------------------------------------------
-COMBINED_TEXT_WIDTH = 5000
 
 # --- fixed values: keyword rules, tested in this order --------------------------
 KEYWORD_RULES = [
@@ -247,3 +247,11 @@ KEYWORD_RULES = [
 # the others are holes (clockwise), and the closing vertex is not stored.
 VERTEX = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 GEOM = T.ArrayType(T.ArrayType(T.ArrayType(VERTEX)))
+
+# What every standardized activity layer has, with its types: the contract of their merge.
+GEOM_TYPE = "array<array<array<struct<x:double,y:double>>>>"
+ACTIVITY_CONTRACT = {
+    "oid": "bigint", "NEPA_DOC_NAME": "string", "TREATMENT_NAME": "string", "ACTIVITY": "string", "METHOD": "string",
+    "EQUIPMENT": "string", "DATE_COMPLETED": "date", "DATE_AWARDED": "date", "FUND_CODE": "string",
+    "NBR_UNITS_ACCOMPLISHED": "double", "fileNmDate": "string", "layer": "string", "geom": GEOM_TYPE,
+}

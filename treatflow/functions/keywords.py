@@ -48,25 +48,42 @@ def rule_spans(text: str, pattern: str) -> str:
     # group 1 is the gap since the match before, where \G holds the search; compiled once per task
     stepped = _literal(rf"(?iU)\G((?s:.*?))(?:{pattern})")
     lengths = lambda group: f"transform(regexp_extract_all({text}, {stepped}, {group}), m -> length(m))"
-    steps = f"zip_with({lengths(1)}, {lengths(0)}, (g, w) -> named_struct('g', g, 'n', w - g))"
-    span = "named_struct('s', acc.at + w.g, 'e', acc.at + w.g + w.n)"
+    steps = f"zip_with({lengths(1)}, {lengths(0)}, (g, w) -> named_struct('n', w - g, 'e', w))"
+    # ends are running sums, by adding what stands 1, 2, 4, ... places before
+    behind = "coalesce(get(acc, i - int(shiftleft(1, k))).e, 0)"
+    added = f"transform(acc, (v, i) -> named_struct('n', v.n, 'e', v.e + {behind}))"
     walk = (
-        f"aggregate({steps}, named_struct('at', 0, 'spans', cast(array() as {SPANS})), (acc, w) -> "
-        f"named_struct('at', acc.at + w.g + w.n, 'spans', array_append(acc.spans, {span})), acc -> acc.spans)"
+        f"aggregate(array({steps}), cast(array() as {SPANS}), (none, w) -> aggregate(sequence(0, int(log2(greatest(size(w), 1)))), w, "
+        f"(acc, k) -> {added}, acc -> transform(acc, v -> named_struct('s', v.e - v.n, 'e', v.e))))"
     )
     # most rules do not occur in most texts, so the walk is behind a plain search
     return f"if(rlike({text}, {_literal('(?iU)' + pattern)}), {walk}, cast(array() as {SPANS}))"
 
 
+def _lies_in(at: str, spans: str) -> str:
+    """Whether a place lies in one of the spans, which are sorted and do not overlap, by bisection."""
+    middle = "int((b.lo + b.hi) div 2)"
+    halved = (f"if(b.lo >= b.hi, b, if(get({spans}, {middle}).s <= {at}, named_struct('lo', {middle} + 1, 'hi', b.hi), "
+              f"named_struct('lo', b.lo, 'hi', {middle})))")
+    return (f"(size({spans}) > 0 and aggregate(sequence(0, int(log2(greatest(size({spans}), 1)))), "
+            f"named_struct('lo', 0, 'hi', size({spans})), (b, k) -> {halved}, b -> coalesce(get({spans}, b.lo - 1).e > {at}, false)))")
+
+
 def accepted_rules(spans_by_rule: str) -> str:
-    """Positions of the rules with at least one match that counts, as SQL text."""
-    taken = "exists(acc.taken, k -> (k.s <= m.s and m.s < k.e) or (k.s < m.e and m.e <= k.e))"
-    free = f"filter(spans, m -> not {taken})"
-    step = (
-        "if(size(spans) = 0, named_struct('rule', acc.rule + 1, 'taken', acc.taken, 'won', acc.won), "
-        f"named_struct('rule', acc.rule + 1, 'taken', concat(acc.taken, {free}), "
-        f"'won', if(size({free}) > 0, array_append(acc.won, acc.rule), acc.won)))"
+    """Positions of the rules with at least one match that counts, as SQL text.
+
+    What is taken is kept as sorted spans that do not overlap: a match that counts either holds a taken span whole, which
+    it then replaces, or meets none.
+    """
+    free = f"filter(spans, m -> not {_lies_in('m.s', 'acc.taken')} and not {_lies_in('m.e - 1', 'acc.taken')})"
+    outside = f"filter(x.taken, t -> not {_lies_in('t.s', 'free')})"
+    taken = (
+        f"if(size(free) = 0, x, named_struct('rule', x.rule, 'taken', array_sort(concat({outside}, free)), "
+        "'won', array_append(x.won, x.rule)))"
     )
+    next_rule = "named_struct('rule', x.rule + 1, 'taken', x.taken, 'won', x.won)"
+    # an array of one binds the free spans, which are looked at three times
+    step = f"aggregate(array(if(size(spans) = 0, spans, {free})), acc, (x, free) -> {taken}, x -> {next_rule})"
     zero = f"named_struct('rule', 0, 'taken', cast(array() as {SPANS}), 'won', cast(array() as array<int>))"
     return f"aggregate({spans_by_rule}, {zero}, (acc, spans) -> {step}, acc -> acc.won)"
 

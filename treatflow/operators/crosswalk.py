@@ -8,11 +8,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treatflow.fixed_values import ACTIVITY_MAP, CSV_NULL_WORDS, KEY_NULL_WORDS, SKIP, SWEEP_METHODS
+from treatflow.fixed_values import (
+    ACTIVITY_MAP, CSV_NULL_WORDS, DELETE, EXCLUDE, KEY_NULL_WORDS, REVIEW_LABELS, SKIP, SWEEP_METHODS,
+)
 from treatflow.functions.strings import key_part, strip
-from treatflow.session import broadcast_if_small, cut_lineage
+from treatflow.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, cut_lineage, estimated_bytes
 
 LOOKUP_ROWS_LIMIT = 10_000
+SALTS = 32
 
 
 def prepare_lookup(lookup: DataFrame, keys: Sequence[str], outputs: Sequence[str]) -> DataFrame:
@@ -127,8 +130,9 @@ def activity_to_type(df: DataFrame, label: str = "activity_reclass") -> DataFram
 def resolve_codes(df: DataFrame, codes: str, lookup: DataFrame, code: str, values: Sequence[str]) -> DataFrame:
     """Replace an array of codes by an array of structs of the lookup's values, in order.
 
-    Every distinct array is resolved once, by a join of its codes with the lookup, and joined back on the
-    array, so rows need no id.  An unknown code gives a null, a lookup row without a code matches nothing,
+    Every distinct array is resolved once, by a join of its codes with the lookup; this dictionary is written, so its size
+    is known.  Below the limit it is broadcast and no row of ``df`` moves.  Above, rows and dictionary are spread by salt, so
+    a list that very many rows hold is no hot key.  An unknown code gives a null, a lookup row without a code matches nothing,
     and of a repeated code the last row wins.
     """
     unique = lookup.groupBy(F.col(code).alias("__code")).agg(
@@ -136,13 +140,32 @@ def resolve_codes(df: DataFrame, codes: str, lookup: DataFrame, code: str, value
     )
     wanted = df.select(F.col(codes).alias("__codes_key")).filter(F.size("__codes_key") > 0).distinct()
     exploded = wanted.select("__codes_key", F.posexplode("__codes_key").alias("__pos", "__code"))
-    gathered = (
+    dictionary = cut_lineage(
         exploded.join(broadcast_if_small(unique), "__code", "left")
         .groupBy("__codes_key")
         .agg(F.array_sort(F.collect_list(F.struct("__pos", "__value"))).alias("__list"))
         .select("__codes_key", F.transform("__list", lambda s: s["__value"]).alias("__values"))
     )
-    joined = df.join(gathered, F.col(codes) == F.col("__codes_key"), "left")
-    kind = gathered.schema["__values"].dataType
+    same = F.col(codes) == F.col("__codes_key")
+    if estimated_bytes(dictionary) <= BROADCAST_LIMIT_BYTES:
+        joined = df.join(F.broadcast(dictionary), same, "left")
+    else:
+        spread = dictionary.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        joined = salted.join(spread, same & (F.col("__salt") == F.col("__copy")), "left").drop("__salt", "__copy")
+    kind = dictionary.schema["__values"].dataType
     filled = F.coalesce(F.col("__values"), F.array().cast(kind))
     return joined.withColumn(codes, F.when(F.col(codes).isNotNull(), filled)).drop("__codes_key", "__values")
+
+
+def label_lint(lookup: DataFrame, label: str, known: Sequence[str] = tuple(ACTIVITY_MAP)) -> DataFrame:
+    """Labels of a lookup or table that the activity map lacks: ``label``, its rows and the known label that ``differs_in_case``.
+
+    Blank labels and the words that steer a flow are no labels of activities.
+    """
+    words = [SKIP, EXCLUDE, DELETE, *REVIEW_LABELS]
+    text = strip(F.col(label))
+    counted = lookup.filter((F.coalesce(text, F.lit("")) != "") & ~text.isin([*words, *known])).groupBy(text.alias("label")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    by_case = F.create_map(*[F.lit(v) for k in known for v in (k.lower(), k)])
+    return counted.withColumn("differs_in_case", F.try_element_at(by_case, F.lower("label")))

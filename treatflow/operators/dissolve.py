@@ -1,18 +1,20 @@
 """Union of footprints per group: area, perimeter and shape.
 
-A group's edges are cut into chunks of shapes and bins of x, each of bounded size.  Within a bin the
-plane is swept in slabs between neighbouring x breaks (edge ends and crossings); in a slab no edges
-cross, so running over them from bottom to top shows where the group covers the plane.  The covered
-trapezoids' bottom and top edges are again a set of edges, so chunk unions are united in turn until one
-is left per group.
+A group's edges are cut into chunks of shapes and bins of x, each of bounded size; bins hold about equally many
+ends of edges.  Within a bin the plane is swept in slabs between neighbouring x breaks (edge ends and
+crossings); in a slab no edges cross, so running over them from bottom to top shows where the group covers
+the plane.  The covered trapezoids' bottom and top edges are again a set of edges, so chunk unions are united
+in turn until one is left per group; a group whose last chunk is left waits for the others no longer.  Groups
+whose edges run along x are swept along y instead.  The last unions' boundary edges are stitched to rings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treatflow.functions.geometry import area, edges, perimeter, repair
+from treatflow.functions.geometry import area, edges, perimeter
+from treatflow.operators.rings import stitch
 from treatflow.session import cut_lineage
 
 CHUNK_EDGES = 256
@@ -66,36 +68,44 @@ def _slab(lo: str, hi: str) -> str:
     return f"aggregate({ordered}, {zero}, (acc, a) -> {step}, acc -> acc.out)"
 
 
+KEYS = ("grp", "turned", "chunk", "chunks")
+
+
+def _place(x: str) -> str:
+    """How many of the sorted ``cuts`` are at or below ``x``, by bisection."""
+    middle = "((s.lo + s.hi) div 2)"
+    step = (f"if(s.lo >= s.hi, s, if(get(cuts, {middle}) <= {x}, named_struct('lo', {middle} + 1, 'hi', s.hi), "
+            f"named_struct('lo', s.lo, 'hi', {middle})))")
+    return f"aggregate(steps, named_struct('lo', 0L, 'hi', bigint(size(cuts))), (s, k) -> {step}, s -> s.lo)"
+
+
 def _sweep(pieces: DataFrame) -> DataFrame:
-    """Trapezoids (``z``) of the union of each (grp, chunk), one row per x bin."""
-    extent = pieces.groupBy("grp", "chunk").agg(
-        F.min("x1").alias("x0"), F.max("x2").alias("xn"), F.count(F.lit(1)).alias("n")
-    )
-    bins = F.ceil(F.col("n") / BIN_EDGES)
-    ruled = extent.select("grp", "chunk", "x0", ((F.col("xn") - F.col("x0")) / bins).alias("w"), bins.alias("bins"))
-    placed = pieces.join(ruled, ["grp", "chunk"])
-    bin_of = lambda x: f"least(bins - 1, floor(({x} - x0) / w))"
-    spread = placed.withColumn("bin", F.expr(f"explode(sequence({bin_of('x1')}, {bin_of('x2')}))"))
-    ranged = spread.withColumns(
-        {
-            "a": F.expr("greatest(x1, x0 + bin * w)"),
-            "b": F.expr("if(bin < bins - 1, least(x2, x0 + (bin + 1) * w), x2)"),
-        }
-    )
+    """Trapezoids (``z``) of the union of each chunk, one row per x bin."""
+    ends = F.array_sort(F.concat(F.collect_list("x1"), F.collect_list("x2")))
+    ranked = pieces.groupBy(*KEYS).agg(ends.alias("ends")).withColumn("bins", F.expr(f"ceil(size(ends) / {2 * BIN_EDGES})"))
+    # inner borders of the bins: every so many ends of edges
+    border = "get(ends, int(k * size(ends) div bins))"
+    cuts = F.expr(f"if(bins > 1, filter(array_distinct(transform(sequence(1L, bins - 1), k -> {border})), c -> c > get(ends, 0)), array())")
+    ruled = ranked.select(*KEYS, cuts.cast("array<double>").alias("cuts")).withColumn(
+        "steps", F.expr("sequence(0, if(size(cuts) = 0, 0, int(log2(size(cuts))) + 1))"))
+    placed = pieces.join(ruled, list(KEYS))
+    spread = placed.withColumn("bin", F.expr(f"explode(sequence({_place('x1')}, {_place('x2')}))"))
+    # outside the array there is no border, and least and greatest skip nulls
+    ranged = spread.withColumns({"a": F.expr("greatest(x1, get(cuts, int(bin) - 1))"), "b": F.expr("least(x2, get(cuts, int(bin)))")})
     height = lambda x: f"y1 + ({x} - x1) * (y2 - y1) / (x2 - x1)"
     cut = F.expr(
         f"named_struct('x1', a, 'y1', if(a = x1, y1, {height('a')}), 'x2', b, 'y2', if(b = x2, y2, {height('b')}), 's', s)"
     )
     gathered = (
-        ranged.select("grp", "chunk", "bin", cut.alias("e"))
+        ranged.select(*KEYS, "bin", cut.alias("e"))
         .filter(F.col("e.x1") < F.col("e.x2"))
-        .groupBy("grp", "chunk", "bin")
+        .groupBy(*KEYS, "bin")
         .agg(F.collect_list("e").alias("e"))
     )
     ends = "transform(e, a -> a.x1), transform(e, a -> a.x2)"
     breaks = gathered.withColumn("x", F.expr(f"array_sort(array_distinct(concat({ends}, {_crossings()})))"))
     slabs = f"transform(sequence(0, size(x) - 2), k -> {_slab('get(x, k)', 'get(x, k + 1)')})"
-    return breaks.select("grp", "chunk", F.expr(f"flatten({slabs})").alias("z"))
+    return breaks.select(*KEYS, F.expr(f"flatten({slabs})").alias("z"))
 
 
 RUNS = "array<struct<x1:double,y1:double,x2:double,y2:double,i:int>>"
@@ -122,66 +132,95 @@ def _boundary(swept: DataFrame) -> DataFrame:
         f"inline(array(named_struct('s', -1, 'r', {_joined_runs('b0', 'b1', 'bi')}), "
         f"named_struct('s', 1, 'r', {_joined_runs('t0', 't1', 'ti')})))"
     )
-    one = swept.select("grp", "chunk", F.expr(both))
-    return one.select("grp", "chunk", "s", F.inline("r")).select("grp", "chunk", "x1", "y1", "x2", "y2", "s")
+    one = swept.select(*KEYS, F.expr(both))
+    return one.select(*KEYS, "s", F.inline("r")).select(*KEYS, "x1", "y1", "x2", "y2", "s")
+
+
+SPANS = "array<struct<y0:double,y1:double,d:int>>"
 
 
-def _upright_length(swept: DataFrame) -> DataFrame:
-    """Length of the vertical boundary per group: where cover differs left and right of an x."""
+def _uprights(swept: DataFrame) -> DataFrame:
+    """Vertical boundary edges with the inside on their left: where cover differs left and right of an x."""
     ends = (
         "inline(flatten(transform(z, t -> array("
         "named_struct('x', t.lo, 'y0', t.b0, 'y1', t.t0, 'side', 1), "
         "named_struct('x', t.hi, 'y0', t.b1, 'y1', t.t1, 'side', -1)))))"
     )
-    spans = swept.select("grp", F.expr(ends)).filter(F.col("y0") < F.col("y1"))
+    spans = swept.select("grp", "turned", F.expr(ends)).filter(F.col("y0") < F.col("y1"))
     # left and right spans do not overlap their own kind, so +1/-1 steps of "right minus left" suffice
     steps = spans.select(
-        "grp", "x", F.expr("inline(array(named_struct('y', y0, 'd', side), named_struct('y', y1, 'd', -side)))")
+        "grp", "turned", "x", F.expr("inline(array(named_struct('y', y0, 'd', side), named_struct('y', y1, 'd', -side)))")
     )
-    per_x = steps.groupBy("grp", "x").agg(F.array_sort(F.collect_list(F.struct("y", "d"))).alias("steps"))
-    length = F.expr(
-        "aggregate(steps, named_struct('diff', 0, 'at', 0D, 'length', 0D), (acc, s) -> named_struct("
-        "'diff', acc.diff + s.d, 'at', s.y, "
-        "'length', acc.length + if(acc.diff != 0, s.y - acc.at, 0D)), acc -> acc.length)"
+    # equal heights cancel here; most borders between slabs leave nothing
+    level = steps.groupBy("grp", "turned", "x", "y").agg(F.sum("d").cast("int").alias("d")).filter("d != 0")
+    per_x = level.groupBy("grp", "turned", "x").agg(F.array_sort(F.collect_list(F.struct("y", "d"))).alias("steps"))
+    differing = F.expr(
+        f"aggregate(steps, named_struct('diff', 0, 'at', 0D, 'out', cast(array() as {SPANS})), (acc, s) -> named_struct("
+        "'diff', acc.diff + s.d, 'at', s.y, 'out', if(acc.diff != 0, "
+        "array_append(acc.out, named_struct('y0', acc.at, 'y1', s.y, 'd', acc.diff)), acc.out)), acc -> acc.out)"
     )
-    return per_x.groupBy("grp").agg(F.sum(length).alias("upright"))
+    listed = per_x.select("grp", "turned", "x", F.inline(differing))
+    # inside on the right of x: downwards
+    return listed.select("grp", "turned", F.col("x").alias("x1"), F.expr("if(d > 0, y1, y0)").alias("y1"),
+                         F.col("x").alias("x2"), F.expr("if(d > 0, y0, y1)").alias("y2"))
+
+
+def _outline(swept: DataFrame) -> DataFrame:
+    """(``grp``, ``e``): the directed boundary edges of each group, inside on the left, turned back."""
+    sloped = _boundary(swept)
+    # bottom edges run to the right, top edges to the left
+    along = sloped.select(
+        "grp", "turned", *[F.expr(f"if(s < 0, {a}, {b})").alias(a) for a, b in (("x1", "x2"), ("y1", "y2"), ("x2", "x1"), ("y2", "y1"))]
+    )
+    every = along.unionByName(_uprights(swept))
+    # turning mirrors the plane, which swaps left and right: edges run the other way
+    back = every.select("grp", *[F.expr(f"if(turned, {t}, {c})").alias(c) for c, t in (("x1", "y2"), ("y1", "x2"), ("x2", "y1"), ("y2", "x1"))])
+    return back.groupBy("grp").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("e"))
+
+
+def _turned_edges(geom: str) -> Column:
+    """Edges of the polygon with x and y exchanged, whose rings then run the other way."""
+    swapped = f"transform({geom}, p -> transform(p, r -> transform(r, v -> named_struct('x', v.y, 'y', v.x))))"
+    return F.transform(edges(swapped), lambda e: e.withField("s", -e["s"]))
 
 
 def dissolve_shapes(df: DataFrame, group: str, geom: str = "geom") -> DataFrame:
     """(group, geom, area, perimeter) of the union of each group's polygons.
 
-    Exact copies count once, and groups with one distinct shape keep it as it is.
+    Exact copies count once, and groups with one distinct shape keep it as it is.  The other unions are valid
+    polygons: shells counter-clockwise with their holes, no two parts share more than a vertex, no vertex lies on
+    the line between its neighbours.
     """
     distinct = df.filter(F.col(geom).isNotNull()).select(F.col(group).alias("grp"), F.col(geom).alias("geom")).distinct()
-    sized = distinct.withColumn("e", edges("geom"))
-    totals = sized.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("e")).alias("n_edges"))
-    totals = totals.withColumn("chunks", F.ceil(F.col("n_edges") / CHUNK_EDGES))
-    known = cut_lineage(sized.join(totals, "grp"))
-    single = known.filter(F.col("n") == 1).select(
-        "grp", "geom", area("geom").alias("area"), perimeter("geom").alias("perimeter")
-    )
+    sized = distinct.withColumns({"e": edges("geom"), "f": _turned_edges("geom")})
+    length = lambda e: F.sum(F.expr(f"aggregate({e}, 0D, (n, a) -> n + a.x2 - a.x1)"))
+    extent = lambda e: F.max(F.expr(f"array_max({e}.x2)")) - F.min(F.expr(f"array_min({e}.x1)"))
+    totals = sized.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("e")).alias("n_edges"), F.sum(F.size("f")).alias("n_turned"),
+        # how many edges a slab meets on average, along x and along y
+        (length("e") / extent("e")).alias("met"), (length("f") / extent("f")).alias("met_turned"),
+    )
+    turned = F.coalesce(F.col("met_turned") < F.col("met"), F.lit(False))
+    totals = totals.withColumn("turned", turned).withColumn(
+        "chunks", F.greatest(F.ceil(F.expr("if(turned, n_turned, n_edges)") / CHUNK_EDGES), F.lit(1)))
+    known = cut_lineage(sized.join(totals, "grp").withColumn("e", F.expr("if(turned, f, e)")).select(
+        "grp", "geom", "e", "n", "turned", "chunks"))
+    single = known.filter(F.col("n") == 1).select("grp", "geom")
     several = known.filter(F.col("n") > 1)
     most = several.agg(F.max("chunks")).head()[0]
-    if most is None:
-        return single.withColumnRenamed("grp", group)
-    pieces = several.select("grp", F.pmod(F.xxhash64("geom"), F.col("chunks")).alias("chunk"), F.inline("e"))
-    while most > 1:
-        # unions of chunks, several of which then make one chunk of the next level
-        most = -(-most // FAN_IN)
-        pieces = cut_lineage(
-            _boundary(_sweep(pieces)).withColumn("chunk", F.pmod(F.col("chunk"), F.lit(most).cast("bigint")))
-        )
-    swept = cut_lineage(_sweep(pieces))
-    corner = lambda x, y: f"named_struct('x', t.{x}, 'y', t.{y})"
-    ring = f"array({corner('lo', 'b0')}, {corner('hi', 'b1')}, {corner('hi', 't1')}, {corner('lo', 't0')})"
-    covered = "aggregate(z, 0D, (acc, t) -> acc + (t.hi - t.lo) * ((t.t0 - t.b0) + (t.t1 - t.b1)) / 2)"
-    shape = swept.groupBy("grp").agg(
-        F.flatten(F.collect_list(F.expr(f"transform(z, t -> array({ring}))"))).alias("parts"),
-        F.sum(F.expr(covered)).alias("area"),
-    )
-    flat = _boundary(swept).groupBy("grp").agg(F.sum(F.expr("hypot(x2 - x1, y2 - y1)")).alias("flat"))
-    united = (
-        shape.join(flat, "grp", "left").join(_upright_length(swept), "grp", "left")
-        .select("grp", repair("parts").alias("geom"), "area", F.expr("coalesce(flat, 0) + coalesce(upright, 0)").alias("perimeter"))
-    )
-    return single.unionByName(united).withColumnRenamed("grp", group)
+    shapes = single
+    if most is not None:
+        pieces = several.select(
+            "grp", "turned", F.pmod(F.xxhash64("geom"), F.col("chunks")).alias("chunk"), "chunks", F.inline("e"))
+        ready = pieces.filter("chunks = 1")
+        while most > 1:
+            # unions of chunks, several of which then make one chunk of the next level
+            fewer = F.ceil(F.col("chunks") / FAN_IN)
+            most = -(-most // FAN_IN)
+            pieces = cut_lineage(
+                _boundary(_sweep(pieces.filter("chunks > 1"))).withColumns({"chunk": F.pmod(F.col("chunk"), fewer), "chunks": fewer})
+            )
+            ready = ready.unionByName(pieces.filter("chunks = 1"))
+        shapes = single.unionByName(stitch(_outline(cut_lineage(_sweep(ready)))))
+    measured = shapes.withColumns({"area": area("geom"), "perimeter": perimeter("geom")})
+    return measured.withColumnRenamed("grp", group)

@@ -12,8 +12,10 @@ from treatflow.operators.components import components
 from treatflow.operators.dissolve import dissolve_shapes
 from treatflow.session import cut_lineage
 
-CROWD = 64       # shapes in one block above which leaders stand in for pairs
-LEADERS = 16     # leaders taken per crowded block and round
+HUBS = 4      # hubs that a block takes in its first round
+SIDE = 4      # width of a block, in tolerances
+BLOCK = ["sig", "c0", "c1", "c2", "c3"]
+CORNERS = ("xmin", "ymin", "xmax", "ymax")
 
 
 def canonical(geom: str) -> Column:
@@ -36,29 +38,24 @@ def within_tolerance(a: str, b: str, tol: float) -> Column:
 
 
 def _shape_rows(df: DataFrame, tol: float) -> DataFrame:
-    """What a shape must share with a near-identical one: counts, and a mean and box within ``tol``."""
-    block = tol * (1 + 1e-9)
-    all_v = "flatten(flatten(geom))"
-    cell = lambda axis: F.expr(f"floor(aggregate({all_v}, 0D, (acc, v) -> acc + v.{axis} / size({all_v})) / {block!r}D)")
+    """What a shape shares with a near-identical one: counts, and a box whose corners are within ``tol``.
+
+    ``c0`` to ``c3`` are the block of the box: the cells of its two corners, so its place and its size.
+    """
+    side = SIDE * tol * (1 + 1e-9)
     return df.select(
-        "id",
-        F.expr("to_json(transform(geom, part -> transform(part, r -> size(r))))").alias("sig"),
-        cell("x").alias("cx"),
-        cell("y").alias("cy"),
-        bounds("geom").alias("b"),
-        "geom",
-    )
+        "id", F.expr("to_json(transform(geom, part -> transform(part, r -> size(r))))").alias("sig"), bounds("geom").alias("b"), "geom",
+    ).withColumns({f"c{i}": F.floor(F.col(f"b.{c}") / F.lit(side)) for i, c in enumerate(CORNERS)})
 
 
-def _neighbours(nodes: DataFrame, reach: int = 1) -> DataFrame:
-    """The nodes, once for every block within ``reach`` of theirs."""
-    span = F.array(*[F.lit(d) for d in range(-reach, reach + 1)])
-    spread = nodes.withColumn("dx", F.explode(span)).withColumn("dy", F.explode(span))
-    return spread.select(
-        "sig", (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"),
-        F.col("id").alias("id2"), F.col("b").alias("b2"), F.col("geom").alias("geom2"),
-        *[F.col(c).alias(c + "2") for c in nodes.columns if c not in ("sig", "cx", "cy", "id", "b", "geom")],
-    )
+def _neighbours(nodes: DataFrame, tol: float, reach: int = 1) -> DataFrame:
+    """The nodes, once for every block with boxes within ``reach`` tolerances of theirs."""
+    side, far = SIDE * tol * (1 + 1e-9), reach * tol * (1 + 1e-9)
+    spread = nodes.drop(*BLOCK[1:])
+    for i, c in enumerate(CORNERS):
+        near = F.sequence(F.floor((F.col(f"b.{c}") - far) / F.lit(side)), F.floor((F.col(f"b.{c}") + far) / F.lit(side)))
+        spread = spread.withColumn(f"c{i}", F.explode(near))
+    return spread.select(*BLOCK, *[F.col(c).alias(c + "2") for c in nodes.columns if c not in BLOCK])
 
 
 def _boxes_within(tol: float) -> Column:
@@ -66,61 +63,60 @@ def _boxes_within(tol: float) -> Column:
     return near[0] & near[1] & near[2] & near[3]
 
 
-def _links(shapes: DataFrame, nodes: DataFrame, tol: float, extra: Column) -> DataFrame:
-    """Linked (shape, node) pairs that meet in a block."""
-    met = shapes.join(_neighbours(nodes), ["sig", "cx", "cy"]).filter(extra & _boxes_within(tol))
+def _links(shapes: DataFrame, nodes: DataFrame, tol: float) -> DataFrame:
+    """Linked (shape, node) pairs of different shapes that meet in the shape's block."""
+    met = shapes.join(_neighbours(nodes, tol), BLOCK).filter((F.col("id") != F.col("id2")) & _boxes_within(tol))
     return met.filter(within_tolerance("geom", "geom2", tol)).select(
         F.col("id").alias("u"), F.col("id2").alias("v")
     )
 
 
-def _lead_crowds(shapes: DataFrame, crowded: DataFrame, tol: float) -> tuple[DataFrame, DataFrame]:
-    """Stand-ins for crowded blocks: (nodes, member links).
+def _hubs(shapes: DataFrame, tol: float) -> tuple[DataFrame, DataFrame | None]:
+    """(nodes, member links): shapes that stand in for the others, and the others' links to them.
 
-    A round takes up to ``LEADERS`` shapes per crowded block, from where most shapes lie, and links the
-    block's shapes to those within tolerance.  What is left goes to the next round, with twice as many
-    leaders, until no block is crowded.  Shapes are compared with leaders only, never all with all.
+    A shape alone in its block is a node.  In every other block a round takes up to ``HUBS`` shapes, from where most
+    shapes lie, and links the rest to the hubs within tolerance.  What is left goes to the next round, with twice as many
+    hubs, until at most one shape of a block is left, which is a node, too.  Shapes meet hubs only, never all others.
     """
     side = tol / 2
     snapped = F.expr(
         "transform(flatten(geom), r -> transform(r, v -> "
         f"named_struct('x', floor(v.x / {side!r}D), 'y', floor(v.y / {side!r}D))))"
     )
-    block = ["sig", "cx", "cy"]
-    rest = shapes.join(crowded.select(block), block, "left_semi").withColumn("fine", F.xxhash64(snapped))
-    nodes = shapes.join(crowded.select(block), block, "left_anti")
-    member_links, most = None, LEADERS
-    while True:
-        spots = rest.groupBy(*block, "fine").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-        chosen = spots.groupBy(*block, F.pmod(F.xxhash64("fine"), F.lit(most)).alias("part")).agg(
+    shared = lambda df: df.groupBy(BLOCK).count().filter(F.col("count") > 1).select(BLOCK)
+    blocks = cut_lineage(shared(shapes))
+    nodes = shapes.join(blocks, BLOCK, "left_anti")
+    rest = shapes.join(blocks, BLOCK, "left_semi").withColumn("fine", F.xxhash64(snapped))
+    member_links, most = None, HUBS
+    while not blocks.isEmpty():
+        spots = rest.groupBy(*BLOCK, "fine").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+        chosen = spots.groupBy(*BLOCK, F.pmod(F.xxhash64("fine"), F.lit(most)).alias("part")).agg(
             F.min_by("first", F.struct(-F.col("n"), F.col("first"))).alias("id")
         )
-        leaders = cut_lineage(rest.join(chosen.select("id"), "id", "left_semi").drop("fine"))
-        links = cut_lineage(_links(rest, leaders, tol, F.col("id") != F.col("id2")))
+        hubs = cut_lineage(rest.join(chosen.select("id"), "id", "left_semi").drop("fine"))
+        links = cut_lineage(_links(rest.drop("fine"), hubs, tol))
         member_links = links if member_links is None else member_links.union(links)
-        nodes = nodes.union(leaders.select(*nodes.columns))
-        placed = links.select(F.col("u").alias("id")).union(leaders.select("id")).distinct()
+        nodes = nodes.unionByName(hubs)
+        placed = links.select(F.col("u").alias("id")).union(hubs.select("id")).distinct()
         rest = cut_lineage(rest.join(placed, "id", "left_anti"))
-        still = rest.groupBy(*block).count().filter(F.col("count") > CROWD).select(block)
-        if still.isEmpty():
-            return nodes.union(rest.drop("fine").select(*nodes.columns)), member_links
-        # blocks that are no longer crowded leave the loop with all their shapes
-        still = cut_lineage(still)
-        nodes = nodes.union(rest.join(still, block, "left_anti").drop("fine").select(*nodes.columns))
-        rest = cut_lineage(rest.join(still, block, "left_semi"))
+        # blocks with one shape left leave the rounds
+        blocks = cut_lineage(shared(rest))
+        nodes = nodes.unionByName(rest.join(blocks, BLOCK, "left_anti").drop("fine"))
+        rest = rest.join(blocks, BLOCK, "left_semi")
         most *= 2
+    return nodes, member_links
 
 
 def _links_between_balls(shapes: DataFrame, member_links: DataFrame, found: DataFrame, tol: float) -> DataFrame:
-    """Links between members of two leaders that no leader shows.
+    """Links between members of two hubs that no hub shows.
 
-    Two such members are within ``tol``, so each is within ``2 * tol`` of the other one's leader and the
-    leaders are within ``3 * tol``; only leaders of different components are looked at.
+    Two such members are within ``tol``, so each is within ``2 * tol`` of the other one's hub and the
+    hubs are within ``3 * tol``; only hubs of different components are looked at.
     """
     named = found.select(F.col("u").alias("id"), "grp")
-    leaders = shapes.join(member_links.select(F.col("v").alias("id")).distinct(), "id", "left_semi").join(named, "id")
+    hubs = shapes.join(member_links.select(F.col("v").alias("id")).distinct(), "id", "left_semi").join(named, "id")
     pairs = (
-        leaders.join(_neighbours(leaders, reach=3), ["sig", "cx", "cy"])
+        hubs.join(_neighbours(hubs, tol, reach=3), BLOCK)
         .filter((F.col("grp") != F.col("grp2")) & _boxes_within(3 * tol))
         .select(F.col("id").alias("p"), F.col("id2").alias("q"), F.col("geom2").alias("geom_q"), F.col("b2"))
     )
@@ -148,7 +144,7 @@ def near_identical(df: DataFrame, tol: float, oid: str = "oid", geom: str = "geo
     puts every vertex within ``tol`` of its partner; chains of such shapes are one group.
 
     Exact copies are counted down to one shape before anything is compared.  Shapes then meet by
-    counts and by the grid cell of their mean vertex, which moves by at most ``tol``.
+    counts and by the cells of both corners of their box, which move by at most ``tol``.
     """
     footprints = (
         df.filter(F.col(geom).isNotNull())
@@ -158,17 +154,14 @@ def near_identical(df: DataFrame, tol: float, oid: str = "oid", geom: str = "geo
     distinct = footprints.groupBy("k1", "k2", "geom").agg(F.min("oid").alias("id"), F.count(F.lit(1)).alias("n"))
     copies = cut_lineage(distinct)
     shapes = cut_lineage(_shape_rows(copies, tol))
-    crowded = shapes.groupBy("sig", "cx", "cy").count().filter(F.col("count") > CROWD)
-    if crowded.isEmpty():
-        found = components(_links(shapes, shapes, tol, F.col("id") < F.col("id2")))
+    nodes, member_links = _hubs(shapes, tol)
+    node_links = _links(shapes, cut_lineage(nodes), tol)
+    if member_links is None:
+        found = components(node_links)
     else:
-        nodes, member_links = _lead_crowds(shapes, cut_lineage(crowded), tol)
-        nodes, member_links = cut_lineage(nodes), cut_lineage(member_links)
-        node_links = _links(shapes, nodes, tol, F.col("id") != F.col("id2"))
+        member_links = cut_lineage(member_links)
         links = cut_lineage(member_links.union(node_links).distinct())
-        first = components(links)
-        more = _links_between_balls(shapes, member_links, first, tol)
-        found = components(links.union(more))
+        found = components(links.union(_links_between_balls(shapes, member_links, components(links), tol)))
     members = footprints.select("oid", "k1", "k2").join(copies.select("k1", "k2", "id", "n"), ["k1", "k2"])
     grouped = members.join(found.withColumnRenamed("u", "id"), "id", "left")
     grp = F.coalesce(F.col("grp"), F.when(F.col("n") > 1, F.col("id")))

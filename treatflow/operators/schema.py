@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from treatflow.fixed_values import SYSTEM_FIELDS
 from treatflow.functions.lists import clean_list
 from treatflow.functions.strings import blank_to_null
 from treatflow.functions.text import provenance
+from treatflow.session import cut_lineage
 
 __all__ = [
     "add_fields", "prune_to", "keep_fields", "standardize", "stamp_constants", "map_fields",
-    "stamp_provenance", "stamp_updated", "rename", "strip_prefix", "copy_source_id", "key_source_id",
+    "stamp_provenance", "stamp_updated", "rename", "strip_prefix", "copy_source_id", "key_source_id", "number_rows",
     "final_projection", "fill_text",
 ]
 
@@ -119,6 +120,23 @@ def key_source_id(df: DataFrame, natural_key: Sequence[str], name: str = "Source
     return df.withColumn(name, F.xxhash64(*natural_key))
 
 
+def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
+    """Number the rows from ``start`` on in the order of the columns ``order``, nulls first, into ``name``.
+
+    Rows that agree in them come in the order of a hash of all their columns, so a replay gives every row its number
+    again.  Rows are range-partitioned, written, and numbered on top of the sizes of earlier partitions.
+    """
+    spread = df.withColumn("__tie", F.xxhash64(*df.columns)).repartitionByRange(*order, "__tie")
+    placed = cut_lineage(spread.sortWithinPartitions(*order, "__tie").drop("__tie").withColumns(
+        {"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}))
+    sizes = placed.groupBy("__part").agg(F.min("__at").alias("__from"), F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition, so this window and its broadcast are small by construction
+    offsets = sizes.select("__part", "__from", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    number = F.col("__at") - F.col("__from") + F.col("__before") + start
+    return placed.join(F.broadcast(offsets), "__part").withColumn(name, number).drop("__part", "__at", "__from", "__before")
+
+
 def final_projection(df: DataFrame, fields: Mapping[str, str], geometry: str | None = "geom") -> DataFrame:
     """Exact fields, order and types; geometry last."""
     present = _by_lower(df)

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treatflow.fixed_values import (
-    ACTIVITY_LAYER_FIELDS, AGENCY_CONSTANTS, AGENCY_FIELD_MAPS, END_YEAR, KEYWORD_RULES, MERGED_FIELDS,
-    MERGE_RENAMES, OLDER_FIELDS, OLDER_FILE_LABEL, SERVICE_LAYER_FIELDS, SINGLE_CHOICE_COLUMNS, SQ_M_PER_ACRE, START_YEAR,
-    TARGET_FIELDS,
+    ACTIVITY_CONTRACT, ACTIVITY_LAYER_FIELDS, AGENCY_CONSTANTS, AGENCY_FIELD_MAPS, END_YEAR, GEOM_TYPE, KEYWORD_RULES,
+    MERGED_FIELDS, MERGE_RENAMES, OLDER_FIELDS, OLDER_FILE_LABEL, ROUTES, SERVICE_LAYER_FIELDS, SINGLE_CHOICE_COLUMNS, SKIP,
+    SQ_M_PER_ACRE, START_YEAR, TARGET_FIELDS,
 )
 from treatflow.functions.acres import clamped_acres, clamped_acres_by_unit, managed_acres
 from treatflow.functions.dates import completion_date, completion_year
@@ -19,13 +19,14 @@ from treatflow.functions.lists import distinct_list
 from treatflow.functions.text import clean_doc_name, objective_text, project_name
 from treatflow.operators import qa
 from treatflow.operators.classify import classify_treatments, route_of, split_routes
+from treatflow.operators.counts import StepCounts, counted
 from treatflow.operators.crosswalk import activity_to_type, crosswalk, majority_fallback, tiered_crosswalk
 from treatflow.operators.filters import drop_excluded, drop_slivers, filter_year, region, repaired
 from treatflow.operators.footprints import flatten
 from treatflow.operators.funding import fund_names, fund_source_type
 from treatflow.operators.overlay import majority_owner
 from treatflow.operators.schema import (
-    add_fields, copy_source_id, fill_text, final_projection, keep_fields, map_fields, prune_to, rename, stamp_constants,
+    add_fields, copy_source_id, fill_text, final_projection, keep_fields, map_fields, number_rows, prune_to, rename, stamp_constants,
     stamp_provenance, stamp_updated, standardize,
 )
 from treatflow.session import broadcast_if_small, cut_lineage
@@ -56,16 +57,21 @@ def single_parts(df: DataFrame) -> DataFrame:
 
 
 def ingest_activity_layers(layers: Mapping[str, DataFrame], files: Mapping[str, str], state: str, date_text: str,
-                           years: tuple[int, int] = (START_YEAR, END_YEAR)) -> DataFrame:
-    """Region, repair, one set of names, merge, dates, projection, single parts."""
+                           years: tuple[int, int] = (START_YEAR, END_YEAR), counts: StepCounts | None = None) -> DataFrame:
+    """Region, repair, one set of names, merge, dates, projection, single parts.
+
+    Without any layer that has the region's column this is an empty table of the same columns.
+    """
     tables = []
     for name, layer in layers.items():
         here = region(layer, state)
         if here is None:
             continue
         tables.append(stamp_provenance(standardize(repaired(here)), files[name], date_text).withColumn("layer", F.lit(name)))
-    merged = copy_source_id(add_fields(merge_layers(tables), TARGET_FIELDS))
+    merged = copy_source_id(add_fields(merge_layers(tables, ACTIVITY_CONTRACT), TARGET_FIELDS))
+    merged = counted(merged, counts, "merged")
     dated = filter_year(prepare_dates(merged, ["DATE_COMPLETED", "DATE_AWARDED"], years[0]), "YEAR_COMP", *years)
+    dated = counted(dated, counts, "in years")
     named = to_target_projection(dated).withColumn("NEPA_DOC_NAME", clean_doc_name(F.col("NEPA_DOC_NAME")))
     # parts of a repaired polygon need no second repair
     return single_parts(keep_fields(named, ACTIVITY_LAYER_FIELDS, list(TARGET_FIELDS)))
@@ -90,11 +96,12 @@ def finalize_activities(df: DataFrame, run_date: str, modified_by: str,
     stamped = stamp_constants(target, {**AGENCY_CONSTANTS["usfs"], "MODIFY_BY": modified_by})
     mapped = map_fields(stamped, AGENCY_FIELD_MAPS["usfs"])
     measured = mapped.withColumn("ACRES_GIS", acres_of(F.col("area")))
-    typed = activity_to_type(measured)
+    # labels that no tier and no majority resolved stay, and are told
+    typed = activity_to_type(measured).withColumn("UNRESOLVED", F.coalesce(F.col("activity_reclass") == SKIP, F.lit(False)))
     named = typed.withColumn("PRJ_NAME", project_name(F.col("TREATMENT_NAME"), F.col("NEPA_DOC_NAME")))
     clamped = named.withColumn("ACRES_MGT", clamped_acres(F.col("NBR_UNITS_ACCOMPLISHED"), F.col("area")))
     kept = drop_slivers(clamped, "ACRES_GIS", "area", "perimeter")
-    return prune_to(stamp_updated(kept, run_date), list(TARGET_FIELDS))
+    return prune_to(stamp_updated(kept, run_date), [*TARGET_FIELDS, "UNRESOLVED"])
 
 
 def acres_of(area_sq_m: Column) -> Column:
@@ -103,13 +110,14 @@ def acres_of(area_sq_m: Column) -> Column:
 
 def crosswalk_flow(layers: Mapping[str, DataFrame], files: Mapping[str, str], state: str,
                    tiers: Sequence[tuple[DataFrame, str, str, str]], funds: DataFrame, run_date: str, modified_by: str,
-                   years: tuple[int, int] = (START_YEAR, END_YEAR), tolerance: float = 100.0) -> DataFrame:
-    """Ingest, reclassify, flatten and finalize activity layers."""
+                   years: tuple[int, int] = (START_YEAR, END_YEAR), tolerance: float = 100.0,
+                   counts: StepCounts | None = None) -> DataFrame:
+    """Ingest, reclassify, flatten and finalize activity layers; ``counts`` gets the rows of each step."""
     # the staged layer: later passes read only the columns they need of the rows that are left
-    raw = cut_lineage(ingest_activity_layers(layers, files, state, run_date, years))
-    labelled = reclassify_activities(raw, tiers, funds)
+    raw = cut_lineage(counted(ingest_activity_layers(layers, files, state, run_date, years, counts), counts, "single parts"))
+    labelled = counted(reclassify_activities(raw, tiers, funds), counts, "reclassified")
     flat = flatten(labelled, tolerance, ["activity_reclass", "DATE_COMPLETED"], ACTIVITY_STATS)
-    return finalize_activities(flat, run_date, modified_by, years)
+    return counted(finalize_activities(flat, run_date, modified_by, years), counts, "final")
 
 
 # --- keyword flows --------------------------------------------------------------
@@ -117,23 +125,25 @@ def crosswalk_flow(layers: Mapping[str, DataFrame], files: Mapping[str, str], st
 
 def keyword_flow(service: DataFrame, types: DataFrame, rules: Sequence[tuple[str, str]] = KEYWORD_RULES,
                  years: tuple[int, int] = (START_YEAR, END_YEAR), modified_by: str = "",
-                 trust_crosswalk: bool = False) -> DataFrame:
+                 trust_crosswalk: bool = False, counts: StepCounts | None = None) -> DataFrame:
     """Feature-service records by type crosswalk and keywords; ``route`` tells the outcome.
 
-    With ``trust_crosswalk`` a crosswalk label stands where no keyword matches.
+    With ``trust_crosswalk`` a crosswalk label stands where no keyword matches.  ``counts`` gets the rows of each step.
     """
+    service = counted(service, counts, "source")
     dated = prepare_dates(
         copy_source_id(add_fields(service, TARGET_FIELDS), "ID"), ["CompletionDate", "InitiationDate"], years[0]
     )
-    kept = keep_fields(
-        to_target_projection(filter_year(dated, "YEAR_COMP", *years)), SERVICE_LAYER_FIELDS, list(TARGET_FIELDS)
-    )
+    recent = counted(filter_year(dated, "YEAR_COMP", *years), counts, "in years")
+    kept = keep_fields(to_target_projection(recent), SERVICE_LAYER_FIELDS, list(TARGET_FIELDS))
     coded = crosswalk(kept, types, ["Type", "Category", "SubType"], {"reclass": "ACT_CSV"})
     classed = classify_treatments(coded, ["Name", "Notes", "ACT_CSV"], rules)
     if trust_crosswalk:
         trusted = (F.col("ActClass_1") == "UNCLASSIFIED") & (F.coalesce(F.col("ACT_CSV"), F.lit("")) != "")
         classed = classed.withColumn("ActClass_1", F.when(trusted, F.col("ACT_CSV")).otherwise(F.col("ActClass_1")))
     routed = split_routes(classed)
+    if counts is not None:
+        routed = counts.parts(routed, {r: F.col("route") == r for r in ROUTES})
     stamped = stamp_constants(routed, {**AGENCY_CONSTANTS["ifpers"], "MODIFY_BY": modified_by})
     mapped = map_fields(stamped, AGENCY_FIELD_MAPS["ifpers"])
     measured = mapped.withColumn("ACRES_GIS", acres("geom"))
@@ -214,14 +224,17 @@ def merge_qa(layers: Sequence[DataFrame], parcels: DataFrame, owner: str, funds:
              cell_size: float | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Merge agency tables, set the majority owner, normalize and flag; one record of ``MERGED_FIELDS`` per row.
 
-    Agencies number their rows on their own, so every merged row gets a new id; it is written with the rows
-    before anything joins on it.  ``keep`` names further columns to carry along; ``ERROR_FLAG`` and
-    ``qa_flags`` follow the fields, the polygon comes last.
+    Agencies number their rows on their own, so every merged row gets a new id ``ORGID``, from 1 in the order of the layers
+    and their ids and the same on every replay; it is written with the rows before anything joins on it.  ``keep`` names
+    further columns to carry along; ``ORGID``, ``ERROR_FLAG`` and ``qa_flags`` follow the fields, the polygon comes last.
+    No layers give an empty table.
     """
-    merged = add_fields(merge_layers([rename(layer, MERGE_RENAMES) for layer in layers]), {**MERGED_FIELDS, "FUNDING": "string"})
+    placed = [rename(layer, MERGE_RENAMES).withColumn("__layer", F.lit(i)) for i, layer in enumerate(layers)]
+    contract = {"oid": "bigint", "FUNDING": "string", "geom": GEOM_TYPE, "__layer": "int"}
+    merged = add_fields(merge_layers(placed, contract), MERGED_FIELDS)
     funded = fund_source_type(repaired(merged), funds)
-    staged = cut_lineage(funded.withColumn("__row", F.monotonically_increasing_id()))
-    owned = majority_owner(staged, parcels, "__row", owner, cell_size)
+    staged = number_rows(funded, ["__layer", "oid"], "ORGID").drop("__layer")
+    owned = majority_owner(staged, parcels, "ORGID", owner, cell_size)
     checks = {"NO MGT_TYPE": qa.no_mgt_type(F.col("__mgt"))}
     typed = owned.withColumn("__mgt", F.col("MGT_TYPE")).withColumn("MGT_TYPE", qa.normalized_mgt_type(F.col("MGT_TYPE")))
     if all(c in typed.columns for c in SINGLE_CHOICE_COLUMNS):
@@ -231,5 +244,5 @@ def merge_qa(layers: Sequence[DataFrame], parcels: DataFrame, owner: str, funds:
     checks["YEAR FLAG"] = qa.year_out_of_range(F.col("YEAR_COMP"))
     filled = fill_text(qa.qa_flags(typed, checks)).withColumn("ACRES_GIS", acres("geom"))
     kinds = {f.name: f.dataType.simpleString() for f in filled.schema.fields}
-    carried = {c: kinds[c] for c in [*keep, "ERROR_FLAG", "qa_flags"]}
+    carried = {c: kinds[c] for c in [*keep, "ORGID", "ERROR_FLAG", "qa_flags"]}
     return final_projection(filled, {**MERGED_FIELDS, **carried})

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from treatflow.functions.geometry import repair
 
@@ -17,9 +18,22 @@ def read_where(spark: SparkSession, path: str, predicate: Column, columns: Seque
     return spark.read.parquet(path).filter(predicate).select(*columns)
 
 
-def merge_layers(layers: Sequence[DataFrame]) -> DataFrame:
-    """One table of all layers: columns by name, missing ones null, duplicates kept."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)
+def merge_layers(layers: Sequence[DataFrame], contract: Mapping[str, str] | None = None) -> DataFrame:
+    """One table of all layers: columns by name, missing ones null, duplicates kept.
+
+    The fields of a ``contract`` (name to type) are there with their types whatever the layers hold, so that no layer at all
+    gives an empty table of them; values are cast where a layer differs.
+    """
+    if contract is None and not layers:
+        raise ValueError("no layers and no contract: nothing tells the columns")
+    if contract is None:
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), layers)
+    typed = [layer.withColumns({n: (F.col(n) if n in layer.columns else F.lit(None)).cast(t) for n, t in contract.items()})
+             for layer in layers]
+    if not typed:
+        schema = T.StructType([T.StructField(n, T._parse_datatype_string(t)) for n, t in contract.items()])
+        return SparkSession.active().createDataFrame([], schema)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), typed)
 
 
 def load_layers(spark: SparkSession, registry: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -37,8 +51,8 @@ def load_layers(spark: SparkSession, registry: Mapping[str, str]) -> dict[str, D
     return layers
 
 
-def union_workspace(spark: SparkSession, registry: Mapping[str, str]) -> DataFrame:
-    return merge_layers(list(load_layers(spark, registry).values()))
+def union_workspace(spark: SparkSession, registry: Mapping[str, str], contract: Mapping[str, str] | None = None) -> DataFrame:
+    return merge_layers(list(load_layers(spark, registry).values()), contract)
 
 
 def read_lookup(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from treatflow.plans import flows
 from treatflow.operators import classify
+from treatflow.operators.counts import StepCounts
+from treatflow.plans import flows
+from treatflow.sources.writers import write_routes
 from workload.fixtures import oracle, values, view
 from workload.lookups import FUNDS, RULES, TIER_1, TIER_2, TIER_3, TYPES
 from workload.records import (
     FIRST, FUND_TYPE_CTE, LAST, MGT_SQL, SINGLE_SQL, STANDARD_A, STANDARD_B, TYPE_ROWS, cleaned_cte, key_sql, lookup,
-    lookup_cte,
+    lookup_cte, scratch,
 )
 from workload.registry import query
-from workload.shapes import ACRE, CELL, SHARES
+from workload.shapes import ACRE, CELL, SHARES, shape_counts
 from workload.texts import CLASSES, KEPT, LONG, NOTES_LONG, NOTES_WIDE, ROUTE, WIDE, classes_cte, classified
 
 YEARS = (FIRST, LAST)
@@ -48,7 +50,7 @@ CROSSWALK_SQL = f"""
              FROM kept GROUP BY label, CASE WHEN members = 1 THEN 'alone' || oid ELSE comp || coalesce(CAST(DATE_COMPLETED AS VARCHAR), '') END)
     SELECT SourceOID, CAST(y AS INTEGER) AS YEAR_COMP, a.act AS known_activity, a.mgt AS MGT_TYPE, round(area / {ACRE}, 4) AS ACRES_GIS,
            round(CASE WHEN units IS NULL OR units = 0 THEN area * 0.000247105 ELSE least(units, area * 0.000247105) END, 4) AS ACRES_MGT,
-           'US Forest Service' AS AGENCY, DATE '2024-05-06' AS UPDATED
+           'US Forest Service' AS AGENCY, DATE '2024-05-06' AS UPDATED, label = 'SKIP' AS UNRESOLVED, 1 AS n_parts, 4 AS n_vertices
     FROM flat LEFT JOIN {TYPED} ON flat.label = a.k"""
 
 
@@ -66,23 +68,25 @@ def l1_crosswalk_flow(spark, sf):
     known = F.when(F.col("MGT_TYPE").isNotNull(), F.col("ACTIVITY"))
     return out.select(
         "SourceOID", "YEAR_COMP", known.alias("known_activity"), "MGT_TYPE", F.round("ACRES_GIS", 4).alias("ACRES_GIS"),
-        F.round("ACRES_MGT", 4).alias("ACRES_MGT"), "AGENCY", "UPDATED",
+        F.round("ACRES_MGT", 4).alias("ACRES_MGT"), "AGENCY", "UPDATED", "UNRESOLVED", *shape_counts(),
     )
 
 
 # --- keyword flows -------------------------------------------------------------------
 
 SERVICE_TEXT = "trim(concat_ws(' ', nullif(Name, ''), nullif(Notes, ''), nullif(ACT_CSV, '')))"
-SERVICE_SQL = f"""
-    WITH {lookup_cte(TYPES, 'ty', 'Type', 'Category', 'SubType', 'reclass')},
+SERVICE_CTES = f"""{lookup_cte(TYPES, 'ty', 'Type', 'Category', 'SubType', 'reclass')},
     coded AS (SELECT s.*, s.ID AS oid, CASE WHEN y.hit THEN y.reclass END AS ACT_CSV, {year_sql('CompletionDate', 'InitiationDate')} AS yr
               FROM service s LEFT JOIN ty y ON {key_sql('s.Type')} = y.Type AND {key_sql('s.Category')} = y.Category AND {key_sql('s.SubType')} = y.SubType
               WHERE State = 'Colorado' AND Class = 'Actual Treatment'),
     src AS (SELECT *, {SERVICE_TEXT} AS txt FROM coded WHERE yr BETWEEN {FIRST} AND {LAST}),
-    {classes_cte('src', 'txt', 'oid')}, {WIDE.format(source='src')}, {LONG.format(source='src')},
+    {classes_cte('src', 'txt', 'oid')}, {WIDE.format(source='src')}, {LONG.format(source='src')}"""
+SERVICE_KEPT = """
     kept AS (SELECT l.* FROM long l JOIN wide w ON l.oid = w.oid JOIN src s ON s.oid = l.oid
         WHERE NOT (l.activity_reclass = 'DELETE' AND len(list_filter([ActClass_1, ActClass_2, ActClass_3, ACT_CSV],
-            lambda v: v IS NOT NULL AND trim(v) NOT IN ('', 'None', 'DELETE', 'UNCLASSIFIED', 'Null'))) > 0)),
+            lambda v: v IS NOT NULL AND trim(v) NOT IN ('', 'None', 'DELETE', 'UNCLASSIFIED', 'Null'))) > 0))"""
+SERVICE_SQL = f"""
+    WITH {SERVICE_CTES}, {SERVICE_KEPT},
     {cleaned_cte('src', 'Name', 'n1', 'nm')}, {cleaned_cte('n1', 'FundingSource', 'n2', 'fs')}
     SELECT s.oid AS SourceOID, CAST(s.yr AS INTEGER) AS YEAR_COMP, k.activity_reclass, k.Keyword, {ROUTE} AS route,
            a.act AS ACTIVITY, a.mgt AS MGT_TYPE, array_to_string(s.nm, '; ') AS PRJ_NAME, array_to_string(s.fs, '; ') AS FUND_SOURCE,
@@ -92,16 +96,46 @@ SERVICE_SQL = f"""
 
 @query("l2_keyword_flow", oracle(SERVICE_SQL, "service"))
 def l2_keyword_flow(spark, sf):
-    service = view(spark, sf, "service")
-    chosen = service.filter((F.col("State") == "Colorado") & (F.col("Class") == "Actual Treatment"))
     types = lookup(spark, TYPES, "Type", "Category", "SubType", "reclass")
-    out = flows.keyword_flow(chosen, types, RULES, YEARS)
+    out = flows.keyword_flow(service_rows(spark, sf), types, RULES, YEARS)
     return out.select(
         "SourceOID", "YEAR_COMP", "activity_reclass", F.when(F.col("Keyword") != "None", F.col("Keyword")).alias("Keyword"), "route",
         "ACTIVITY", "MGT_TYPE", "PRJ_NAME", "FUND_SOURCE", "AGENCY_C", F.round("ACRES_GIS", 4).alias("ACRES_GIS"),
     )
 
 
+def service_rows(spark, sf):
+    service = view(spark, sf, "service")
+    return service.filter((F.col("State") == "Colorado") & (F.col("Class") == "Actual Treatment"))
+
+
+@query("l2_trust_crosswalk", oracle(f"""
+    WITH {SERVICE_CTES}, trusted AS (SELECT l.oid, CASE WHEN w.ActClass_1 = 'UNCLASSIFIED' AND coalesce(s.ACT_CSV, '') <> '' THEN s.ACT_CSV ELSE l.activity_reclass END AS label
+        FROM long l JOIN wide w ON l.oid = w.oid JOIN src s ON s.oid = l.oid),
+    kept AS (SELECT t.oid, t.label AS activity_reclass FROM trusted t JOIN wide w ON t.oid = w.oid JOIN src s ON s.oid = t.oid
+        WHERE NOT (t.label = 'DELETE' AND len(list_filter([ActClass_2, ActClass_3, CASE WHEN ActClass_1 = 'UNCLASSIFIED' THEN NULL ELSE ActClass_1 END, ACT_CSV],
+            lambda v: v IS NOT NULL AND trim(v) NOT IN ('', 'None', 'DELETE', 'UNCLASSIFIED', 'Null'))) > 0))
+    SELECT oid AS SourceOID, activity_reclass, {ROUTE} AS route FROM kept""", "service"))
+def l2_trust_crosswalk(spark, sf):
+    types = lookup(spark, TYPES, "Type", "Category", "SubType", "reclass")
+    out = flows.keyword_flow(service_rows(spark, sf), types, RULES, YEARS, trust_crosswalk=True)
+    return out.select("SourceOID", "activity_reclass", "route")
+
+
+@query("a7_step_counts", oracle(f"""
+    WITH {SERVICE_CTES}, {SERVICE_KEPT}, routed AS (SELECT {ROUTE} AS route FROM kept)
+    SELECT CAST(1 AS INTEGER) AS step_no, 'source' AS step, (SELECT count(*) FROM coded) AS n_rows
+    UNION ALL SELECT 2, 'in years', (SELECT count(*) FROM src) UNION ALL SELECT 3, 'deleted', (SELECT count(*) FROM routed WHERE route = 'deleted')
+    UNION ALL SELECT 4, 'review', (SELECT count(*) FROM routed WHERE route = 'review')
+    UNION ALL SELECT 5, 'classified', (SELECT count(*) FROM routed WHERE route = 'classified')""", "service"))
+def a7_step_counts(spark, sf):
+    """The counts of a flow's steps, from its one write."""
+    counts = StepCounts()
+    types = lookup(spark, TYPES, "Type", "Category", "SubType", "reclass")
+    write_routes(flows.keyword_flow(service_rows(spark, sf), types, RULES, YEARS, counts=counts), scratch(spark, "routes"))
+    return counts.table(spark)
+
+
 ROUTED = f"routed AS (SELECT oid, activity_reclass AS label, Keyword, {ROUTE} AS route FROM kept)"
 FIXED = """fixed AS (SELECT oid, Keyword, CASE WHEN c THEN CASE WHEN oid % 9 = 0 THEN 'DELETE' ELSE 'Plant Trees' END ELSE label END AS activity_reclass,
         CASE WHEN c THEN CASE WHEN oid % 9 = 0 THEN 'deleted' ELSE 'classified' END ELSE route END AS route
@@ -172,6 +206,7 @@ def l4_unit_flow(spark, sf):
     WITH {SHARES}, {FUND_TYPE_CTE}
     SELECT s.oid, coalesce(b.owner, s.LANDOWNER, '') AS LANDOWNER, coalesce(s.mgt, '') AS MGT_TYPE, s.ACTIVITY, f.FUND_SOURCE, f.FUND_TYPE, s.YEAR_COMP,
            round(s.w * s.h / {ACRE}, 4) AS ACRES_GIS,
+           row_number() OVER (ORDER BY s.oid % 2, s.oid) AS ORGID,
            CASE WHEN s.YEAR_COMP NOT BETWEEN 2000 AND 2024 THEN 'YEAR FLAG' WHEN f.fund_flag THEN 'FUND_FLAG'
                 WHEN coalesce(s.activity_error, true) THEN 'ACTIVITY ERROR' WHEN coalesce(s.MGT_TYPE, '') = '' THEN 'NO MGT_TYPE' ELSE '' END AS ERROR_FLAG
     FROM (SELECT *, {MGT_SQL} AS mgt FROM (SELECT *, replace(lower(MGT_TYPE), ' ', '') AS t FROM ({SINGLE_SQL}) x) y) s
@@ -188,5 +223,5 @@ def l5_merge_qa(spark, sf):
     out = flows.merge_qa(layers, view(spark, sf, "parcels"), "owner", funds, CELL, ["record"])
     return out.select(
         F.col("record").alias("oid"), "LANDOWNER", "MGT_TYPE", "ACTIVITY", "FUND_SOURCE", "FUND_TYPE", "YEAR_COMP",
-        F.round("ACRES_GIS", 4).alias("ACRES_GIS"), "ERROR_FLAG",
+        F.round("ACRES_GIS", 4).alias("ACRES_GIS"), "ERROR_FLAG", "ORGID",
     )

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from treatflow.fixed_values import ACTIVITY_MAP, TARGET_FIELDS
 from treatflow.functions import acres, dates, lists, text
+from treatflow.functions import geometry as geo
 from treatflow.operators import crosswalk as cw
 from treatflow.operators import filters, funding, schema
 from treatflow.operators import qa
 from treatflow.plans.flows import prepare_dates
 from treatflow.session import shared_folder, small_table
-from treatflow.sources import readers
+from treatflow.sources import readers, writers
 from workload.fixtures import oracle, values, view
 from workload.lookups import FUNDS, TIER_1, TIER_2, TIER_3, TYPES, with_line_no
 from workload.registry import query
@@ -47,6 +48,72 @@ def s2_read_where(spark, sf):
     return readers.read_where(spark, f"{sf}/orders.parquet", test, ["o_orderkey", "o_totalprice"])
 
 
+def scratch(spark, name):
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+LAYER_COLUMNS = "oid, ACTIVITY, METHOD, STATE_ABBR, DATE_COMPLETED, NBR_UNITS_ACCOMPLISHED"
+
+
+@query("s4_write_layer", oracle(f"SELECT {LAYER_COLUMNS}, (SELECT count(*) FROM layer_b) AS written FROM layer_b", "layer_b"))
+def s4_write_layer(spark, sf):
+    """A staged layer, written twice over, is there once."""
+    layer, path = view(spark, sf, "layer_b").select(*LAYER_COLUMNS.split(", ")), scratch(spark, "staged")
+    writers.write_layer(layer.limit(5), path)
+    n = writers.write_layer(layer, path)
+    return spark.read.parquet(path).withColumn("written", F.lit(n))
+
+
+@query("s5_archive_layers", oracle("""
+    SELECT 'a' AS layer, oid, ACTIVITY, STATE_ABBR FROM layer_a WHERE oid % 2 = 0 UNION ALL SELECT 'b', oid, ACTIVITY, STATE_ABBR FROM layer_b""", "layer_a", "layer_b"))
+def s5_archive_layers(spark, sf):
+    """A second run of one layer replaces its folder and leaves the other one."""
+    path = scratch(spark, "archive")
+    tagged = {n: view(spark, sf, f"layer_{n}").select("oid", "ACTIVITY", "STATE_ABBR").withColumn("layer", F.lit(n)) for n in ("a", "b")}
+    writers.archive_layers(readers.merge_layers(list(tagged.values())), path)
+    writers.archive_layers(tagged["a"].filter(F.col("oid") % 2 == 0), path)
+    return spark.read.parquet(path).select("layer", "oid", "ACTIVITY", "STATE_ABBR")
+
+
+@query("s6_qa_csv", oracle("""
+    SELECT CAST(oid AS VARCHAR) AS oid, ACTIVITY, AU_NAME, printf('[[[{"x":%d.0,"y":0.0}]]]', oid % 7) AS geom FROM layer_b""", "layer_b"))
+def s6_qa_csv(spark, sf):
+    """The review table with a polygon as JSON text, read back."""
+    vertex = F.struct((F.col("oid") % 7).cast("double").alias("x"), F.lit(0.0).alias("y"))
+    layer = view(spark, sf, "layer_b").select("oid", "ACTIVITY", "AU_NAME", F.array(F.array(F.array(vertex))).alias("geom"))
+    path = scratch(spark, "qa")
+    writers.write_qa_csv(layer, path)
+    return spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+
+
+@query("s7_union_workspace", oracle("""
+    SELECT 'a' AS layer, oid, NAME, CAST(NULL AS VARCHAR) AS AU_NAME, CAST(NULL AS DOUBLE) AS ACRES FROM layer_a
+    UNION ALL SELECT 'b', oid, NULL, AU_NAME, NULL FROM layer_b""", "layer_a", "layer_b"))
+def s7_union_workspace(spark, sf):
+    """Two layers of a workspace and one that is not there, under a contract with a field that none has."""
+    folder = scratch(spark, "workspace")
+    for n in ("a", "b"):
+        writers.write_layer(view(spark, sf, f"layer_{n}"), f"{folder}/{n}")
+    contract = {"oid": "bigint", "NAME": "string", "AU_NAME": "string", "ACRES": "double"}
+    merged = readers.union_workspace(spark, {n: f"{folder}/{n}" for n in ("a", "b", "none")}, contract)
+    return merged.select("layer", *contract)
+
+
+@query("s9_geojson", oracle("""
+    SELECT CAST(oid AS VARCHAR) AS oid, TREATMENT_NAME AS name, round(w * h, 3) AS area, round(2 * (w + h), 3) AS perimeter FROM footprints""", "footprints"))
+def s9_geojson(spark, sf):
+    """Footprints written as GeoJSON lines with closed rings, and read back."""
+    corner = lambda x, y: f"array({x}, {y})"
+    ring = f"array({corner('x0', 'y0')}, {corner('x0 + w', 'y0')}, {corner('x0 + w', 'y0 + h')}, {corner('x0', 'y0 + h')}, {corner('x0', 'y0')})"
+    feature = ("to_json(named_struct('type', 'Feature', 'properties', map('oid', string(oid), 'name', TREATMENT_NAME), "
+               f"'geometry', named_struct('type', 'Polygon', 'coordinates', array({ring}))), map('ignoreNullFields', 'false'))")
+    path = scratch(spark, "geojson")
+    view(spark, sf, "footprints", geometry=False).select(F.expr(feature).alias("value")).write.text(path)
+    read = readers.read_geojson(spark, path).withColumns({"area": geo.area("geom"), "perimeter": geo.perimeter("geom")})
+    return read.select(F.col("properties")["oid"].alias("oid"), F.col("properties")["name"].alias("name"),
+                       F.round("area", 3).alias("area"), F.round("perimeter", 3).alias("perimeter"))
+
+
 @query("s3_lookup_profile", """
     SELECT p_type, count(*) AS n_keys, sum(CASE WHEN label = '' THEN 1 ELSE 0 END)::BIGINT AS n_blank,
            max(label) AS last_label
@@ -179,14 +246,11 @@ def p8_rename(spark, sf):
     return schema.rename(schema.strip_prefix(df), {"REFOREST": "REFOR_MGT", "FIRE_MGT": "RXFIRE_MGT"})
 
 
-@query("p9_source_id", oracle("SELECT count(*) AS n, count(DISTINCT oid) AS n_ids, min(oid) AS low, max(oid) AS high, count(DISTINCT oid) AS n_keys FROM treatments", "treatments"))
+@query("p9_source_id", oracle("""
+    SELECT oid, CAST(oid AS BIGINT) AS SourceOID, row_number() OVER (ORDER BY equipment NULLS FIRST, oid) AS ORGID FROM treatments""", "treatments"))
 def p9_source_id(spark, sf):
-    df = schema.copy_source_id(view(spark, sf, "treatments"))
-    keyed = schema.key_source_id(df, ["oid", "activity", "equipment"], "ORGID")
-    return keyed.agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("SourceOID").alias("n_ids"), F.min("SourceOID").alias("low"),
-        F.max("SourceOID").alias("high"), F.countDistinct("ORGID").alias("n_keys"),
-    )
+    df = schema.copy_source_id(view(spark, sf, "treatments").select("oid", "equipment"))
+    return schema.number_rows(df, ["equipment", "oid"], "ORGID").select("oid", "SourceOID", "ORGID")
 
 
 # --- filters --------------------------------------------------------------------
@@ -547,3 +611,17 @@ def managed_acres_by_type(spark, sf):
     return typed.groupBy("MGT_TYPE", "YEAR_COMP").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum(managed), 2).alias("acres")
     )
+
+
+KNOWN_LABELS = ", ".join("'" + k.replace("'", "''") + "'" for k in ACTIVITY_MAP)
+
+
+@query("q10_label_lint", oracle(f"""
+    SELECT label, count(*) AS n_rows, (SELECT max(k) FROM (SELECT unnest([{KNOWN_LABELS}]) AS k) WHERE lower(k) = lower(label)) AS differs_in_case
+    FROM (SELECT CASE oid % 5 WHEN 0 THEN ' MANUAL ' WHEN 1 THEN 'Manual' WHEN 2 THEN 'SKIP' WHEN 3 THEN activity ELSE '' END AS raw, trim(raw) AS label FROM treatments)
+    WHERE label NOT IN ('', 'SKIP', 'EXCLUDE', 'DELETE', 'UNCLASSIFIED', 'TREE CHECK', 'PLANT CHECK', {KNOWN_LABELS}) GROUP BY label""", "treatments"))
+def q10_label_lint(spark, sf):
+    pick = F.col("oid") % 5
+    label = (F.when(pick == 0, F.lit(" MANUAL ")).when(pick == 1, F.lit("Manual")).when(pick == 2, F.lit("SKIP"))
+             .when(pick == 3, F.col("activity")).otherwise(F.lit("")))
+    return cw.label_lint(view(spark, sf, "treatments").select(label.alias("label")), "label")

@@ -230,20 +230,52 @@ def a5_dissolve_stats(spark, sf):
 
 
 @query("a6_dissolve_area", oracle("""
-    SELECT g, round(max(h) * (max(x0 + w) - min(x0)), 3) AS area, round(2 * (max(h) + max(x0 + w) - min(x0)), 3) AS perimeter
+    SELECT g, round(max(h) * (max(x0 + w) - min(x0)), 3) AS area, round(2 * (max(h) + max(x0 + w) - min(x0)), 3) AS perimeter,
+           1 AS n_parts, 4 AS n_vertices, round(min(x0), 3) AS west, round(max(x0 + w), 3) AS east, round(min(y0), 3) AS south, round(max(y0 + h), 3) AS north
     FROM footprints GROUP BY g""", "footprints"))
 def a6_dissolve_area(spark, sf):
-    united = dissolve_shapes(view(spark, sf, "footprints"), "g")
-    return united.select("g", F.round("area", 3).alias("area"), F.round("perimeter", 3).alias("perimeter"))
+    united = dissolve_shapes(view(spark, sf, "footprints"), "g").withColumn("b", geo.bounds("geom"))
+    sides = {"west": "xmin", "east": "xmax", "south": "ymin", "north": "ymax"}
+    return united.select(
+        "g", F.round("area", 3).alias("area"), F.round(geo.perimeter("geom"), 3).alias("perimeter"), *shape_counts(),
+        *[F.round(f"b.{c}", 3).alias(n) for n, c in sides.items()],
+    )
+
+
+def shape_counts():
+    """Parts and vertices of ``geom``."""
+    return F.size("geom").alias("n_parts"), F.size(F.flatten(F.flatten("geom"))).alias("n_vertices")
+
+
+def arranged(df):
+    """Up to four rectangles of each footprint's size: overlapping corners, a closed frame, or touching corners."""
+    at = lambda x, y, w="w", h="h": geo.rectangle(f"x0 + {x} * w", f"y0 + {y} * h", w, h)
+    frame = [at(0, 0, "4 * w"), at(0, 0, "w", "4 * h"), at(3, 0, "w", "4 * h"), at(0, 3, "4 * w")]
+    kind = F.col("oid") % 3
+    shapes = F.when(kind == 0, F.array(at(0, 0), at(0.5, 0.5))).when(kind == 1, F.array(*frame)).otherwise(F.array(at(0, 0), at(1, 1)))
+    return df.select("oid", F.explode(shapes).alias("geom"))
+
+
+@query("a6_dissolve_rings", oracle("""
+    SELECT oid, round(CASE oid % 3 WHEN 0 THEN 1.75 WHEN 1 THEN 12 ELSE 2 END * w * h, 3) AS area,
+           round(CASE oid % 3 WHEN 0 THEN 3 WHEN 1 THEN 12 ELSE 4 END * (w + h), 3) AS perimeter,
+           CASE oid % 3 WHEN 2 THEN 2 ELSE 1 END AS n_parts, CASE oid % 3 WHEN 0 THEN 1 ELSE 2 END AS n_rings, 8 AS n_vertices FROM footprints""", "footprints"))
+def a6_dissolve_rings(spark, sf):
+    united = dissolve_shapes(arranged(view(spark, sf, "footprints")), "oid")
+    return united.select(
+        "oid", F.round(geo.area("geom"), 3).alias("area"), F.round(geo.perimeter("geom"), 3).alias("perimeter"),
+        F.size("geom").alias("n_parts"), F.size(F.flatten("geom")).alias("n_rings"), F.size(F.flatten(F.flatten("geom"))).alias("n_vertices"),
+    )
 
 
 @query("u2_flatten", oracle(f"""
     WITH {GROUPS}
-    SELECT oid, activity_reclass, DuplID, DISSOLVE_GRP, NBR_UNITS_ACCOMPLISHED, TREATMENT_NAME, FUND_CODE, round(w * h, 3) AS area, round(2 * (w + h), 3) AS perimeter
+    SELECT oid, activity_reclass, DuplID, DISSOLVE_GRP, NBR_UNITS_ACCOMPLISHED, TREATMENT_NAME, FUND_CODE, round(w * h, 3) AS area, round(2 * (w + h), 3) AS perimeter,
+           1 AS n_parts, 4 AS n_vertices
     FROM grouped WHERE DISSOLVE_GRP = 'None'
     UNION ALL
     SELECT min(oid), activity_reclass, DuplID, g.DISSOLVE_GRP, max(NBR_UNITS_ACCOMPLISHED), arg_min(TREATMENT_NAME, oid), max(t.txt),
-           round(max(h) * (max(x0 + w) - min(x0)), 3), round(2 * (max(h) + max(x0 + w) - min(x0)), 3)
+           round(max(h) * (max(x0 + w) - min(x0)), 3), round(2 * (max(h) + max(x0 + w) - min(x0)), 3), 1, 4
     FROM grouped g LEFT JOIN {distinct_text('FUND_CODE', 'DISSOLVE_GRP').format(source='grouped')} t ON g.DISSOLVE_GRP = t.DISSOLVE_GRP
     WHERE g.DISSOLVE_GRP <> 'None' GROUP BY activity_reclass, DuplID, g.DISSOLVE_GRP""", "footprints"))
 def u2_flatten(spark, sf):
@@ -253,5 +285,5 @@ def u2_flatten(spark, sf):
     )
     return flat.select(
         "oid", "activity_reclass", "DuplID", "DISSOLVE_GRP", "NBR_UNITS_ACCOMPLISHED", "TREATMENT_NAME", "FUND_CODE",
-        F.round("area", 3).alias("area"), F.round("perimeter", 3).alias("perimeter"),
+        F.round("area", 3).alias("area"), F.round(geo.perimeter("geom"), 3).alias("perimeter"), *shape_counts(),
     )
