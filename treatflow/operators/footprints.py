@@ -12,7 +12,7 @@ from treatflow.operators.components import components
 from treatflow.operators.dissolve import dissolve_shapes
 from treatflow.session import cut_lineage
 
-HUBS = 4      # hubs that a block takes in its first round
+HUBS = 8      # hubs that a block takes in its first round
 SIDE = 4      # width of a block, in tolerances
 BLOCK = ["sig", "c0", "c1", "c2", "c3"]
 CORNERS = ("xmin", "ymin", "xmax", "ymax")
@@ -74,17 +74,19 @@ def _links(shapes: DataFrame, nodes: DataFrame, tol: float) -> DataFrame:
 def _hubs(shapes: DataFrame, tol: float) -> tuple[DataFrame, DataFrame | None]:
     """(nodes, member links): shapes that stand in for the others, and the others' links to them.
 
-    A shape alone in its block is a node.  In every other block a round takes up to ``HUBS`` shapes, from where most
-    shapes lie, and links the rest to the hubs within tolerance.  What is left goes to the next round, with twice as many
-    hubs, until at most one shape of a block is left, which is a node, too.  Shapes meet hubs only, never all others.
+    A round takes up to ``HUBS`` shapes of every block, from where most shapes lie, and links the rest to the hubs within
+    tolerance.  What is left goes to the next round, with twice as many hubs.  A block with no more shapes than that has
+    hubs only and is done.  Shapes meet hubs only, never all others.
     """
     side = tol / 2
     snapped = F.expr(
         "transform(flatten(geom), r -> transform(r, v -> "
         f"named_struct('x', floor(v.x / {side!r}D), 'y', floor(v.y / {side!r}D))))"
     )
-    shared = lambda df: df.groupBy(BLOCK).count().filter(F.col("count") > 1).select(BLOCK)
-    blocks = cut_lineage(shared(shapes))
+    larger = lambda df: df.groupBy(BLOCK).count().filter(F.col("count") > HUBS).select(BLOCK)
+    blocks = cut_lineage(larger(shapes))
+    if blocks.isEmpty():
+        return shapes, None
     nodes = shapes.join(blocks, BLOCK, "left_anti")
     rest = shapes.join(blocks, BLOCK, "left_semi").withColumn("fine", F.xxhash64(snapped))
     member_links, most = None, HUBS
@@ -99,12 +101,12 @@ def _hubs(shapes: DataFrame, tol: float) -> tuple[DataFrame, DataFrame | None]:
         nodes = nodes.unionByName(hubs)
         placed = links.select(F.col("u").alias("id")).union(hubs.select("id")).distinct()
         rest = cut_lineage(rest.join(placed, "id", "left_anti"))
-        # blocks with one shape left leave the rounds
-        blocks = cut_lineage(shared(rest))
+        # blocks with few shapes left leave the rounds
+        blocks = cut_lineage(larger(rest))
         nodes = nodes.unionByName(rest.join(blocks, BLOCK, "left_anti").drop("fine"))
         rest = rest.join(blocks, BLOCK, "left_semi")
         most *= 2
-    return nodes, member_links
+    return cut_lineage(nodes), member_links
 
 
 def _links_between_balls(shapes: DataFrame, member_links: DataFrame, found: DataFrame, tol: float) -> DataFrame:
@@ -155,7 +157,7 @@ def near_identical(df: DataFrame, tol: float, oid: str = "oid", geom: str = "geo
     copies = cut_lineage(distinct)
     shapes = cut_lineage(_shape_rows(copies, tol))
     nodes, member_links = _hubs(shapes, tol)
-    node_links = _links(shapes, cut_lineage(nodes), tol)
+    node_links = _links(shapes, nodes, tol)
     if member_links is None:
         found = components(node_links)
     else:
