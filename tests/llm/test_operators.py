@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -430,21 +431,64 @@ def test_patience_alignment():
 
 
 def brute_lines(rows, min_chars):
-    """The same rule with plain loops over whole documents."""
-    first, spread = {}, {}
-    for key, text in sorted(rows.items()):
-        for line in set(text.split("\n")) - {""}:
-            first.setdefault(line, key)
-            spread[line] = spread.get(line, 0) + text.split("\n").count(line)
-    out = {}
-    for key, text in rows.items():
-        shared = [(i, line, len(line), spread[line], (first[line],), [j for j, x in enumerate(rows[first[line]].split("\n")) if x == line])
-                  for i, line in enumerate(text.split("\n")) if line and first[line] != key]
-        gone, _ = lines.lines_to_delete(shared, min_chars)
-        out[key] = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+    """Every document against every earlier one: lines of runs that follow one another in both, empty lines aside."""
+    texts = {key: text.split("\n") for key, text in sorted(rows.items())}
+    held = {key: [i for i, line in enumerate(lines) if line] for key, lines in texts.items()}
+    out, before = {}, []
+    for key, lines in texts.items():
+        mine, gone = held[key], set()
+        for other in before:
+            theirs = [texts[other][i] for i in held[other]]
+            places = {}
+            for j, line in enumerate(theirs):
+                places.setdefault(line, []).append(j)
+            length = {}
+            for a in range(len(mine) - 1, -1, -1):
+                row = {}
+                for j in places.get(lines[mine[a]], []):
+                    row[j] = 1 + length.get(j + 1, 0)
+                    if sum(len(lines[mine[a + k]]) for k in range(row[j])) >= min_chars:
+                        gone.update(mine[a:a + row[j]])
+                length = row
+        out[key] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        before.append(key)
     return out
 
 
+def test_blocks_of_other_documents_than_the_first_holder(spark):
+    """Lines first seen one by one elsewhere; moved blocks; a block that comes twice; blank lines between."""
+    x, y, z = "x" * 40, "y" * 40, "z" * 70
+    rows = {1: f"{x}\n{y}", 2: f"{y}\n{x}", 3: f"{y}\n{x}", 4: f"{x}\nown\n{y}", 5: f"{z}\nq\n{x}\n\n{y}", 6: f"{x}\n{y}\n{z}\nr\n{z}", 7: z}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").withColumn("mask", F.lit("m")).withColumn("spans", F.lit(1))
+    got = lines.dedup_lines(docs).collect()
+    texts = {r.doc_id: r.text for r in got}
+    assert texts == brute_lines(rows, 60)
+    assert texts == {1: rows[1], 2: rows[2], 3: "", 4: rows[4], 5: f"{z}\nq\n", 6: "r", 7: ""}
+    assert {r.doc_id: r.partners for r in got}[3] == [2] and all(r["mask"] == "m" and r.spans == 1 for r in got)
+
+
+def test_line_dedup_of_random_documents(spark, monkeypatch):
+    rng = random.Random(12)
+    bank = ["".join(rng.choice("abcdef ") for _ in range(rng.choice([1, 5, 20, 35, 61]))) for _ in range(14)] + [""]
+    rows = {i: "\n".join(rng.choice(bank) for _ in range(rng.randint(0, 14))) for i in range(160)}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(6)
+    want = brute_lines(rows, 60)
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == want
+    # too large to broadcast: common runs are joined apart
+    monkeypatch.setattr(lines, "BROADCAST_LIMIT_BYTES", 0)
+    monkeypatch.setattr(lines, "HOT_SHARE", 40)
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == want
+
+
+def test_line_dedup_of_repeated_lines_is_no_square(spark):
+    text = "\n".join(["the same line again and again"] * 8000)
+    docs = spark.createDataFrame([(1, text), (2, text + "\nlast")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == {1: text, 2: "last"}
+    began = time.perf_counter()
+    lines.dedup_lines(docs).collect()
+    assert time.perf_counter() - began < 20
+
+
 def test_line_dedup_equals_brute_force(docs, odd, none):
     texts = {r.doc_id: r.text for r in docs.collect()}
     got = {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()}

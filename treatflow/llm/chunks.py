@@ -101,20 +101,20 @@ def dedup_substrings(docs: DataFrame, bits: int = 5, least: int = 48, most: int
     first = cut_lineage(first.select("high", "low", "first"))
     later = each.join(broadcast_if_small(first), ["high", "low"]).filter(place != F.col("first"))
     spans = later.groupBy(F.col("__id").alias("__cid"), F.col("__h").alias("__ch")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "bytes"))).alias("spans"),
-        F.array_sort(F.collect_set(F.col("first.__id"))).alias("sources"))
+        F.array_sort(F.collect_set(F.struct("start", "bytes"))).alias("__spans"),
+        F.array_sort(F.collect_set(F.col("first.__id"))).alias("__sources"))
     spans = cut_lineage(spans)
     quoted = "`" + text.replace("`", "``") + "`"
     # the stretches between the spans that go, cut from the bytes and joined
     kept = F.expr(f"""array_join(zip_with(
-        array_prepend(transform(spans, s -> s.start + s.bytes), 0),
-        array_append(transform(spans, s -> s.start), octet_length({quoted})),
+        array_prepend(transform(__spans, s -> s.start + s.bytes), 0),
+        array_append(transform(__spans, s -> s.start), octet_length({quoted})),
         (a, b) -> cast(substring(cast({quoted} AS binary), a + 1, b - a) AS string)), '')""")
     joined = with_row_key(without(docs, "n_removed", "removed_bytes", "sources"), doc_id, text).join(
         broadcast_if_small(spans), (F.col("__id") == F.col("__cid")) & (F.col("__h") == F.col("__ch")), "left")
     return joined.withColumns({
-        text: F.when(F.col("spans").isNull(), F.col(text)).otherwise(kept),
-        "n_removed": F.when(F.col("spans").isNull(), 0).otherwise(F.size("spans")),
-        "removed_bytes": F.coalesce(F.expr("aggregate(spans, 0, (n, s) -> n + s.bytes)"), F.lit(0)),
-        "sources": F.coalesce("sources", F.array().cast("array<long>")),
-    }).drop("__id", "__h", "__cid", "__ch", "spans")
+        text: F.when(F.col("__spans").isNull(), F.col(text)).otherwise(kept),
+        "n_removed": F.when(F.col("__spans").isNull(), 0).otherwise(F.size("__spans")),
+        "removed_bytes": F.coalesce(F.expr("aggregate(__spans, 0, (n, s) -> n + s.bytes)"), F.lit(0)),
+        "sources": F.coalesce("__sources", F.array().cast("array<long>")),
+    }).drop("__id", "__h", "__cid", "__ch", "__spans", "__sources")
