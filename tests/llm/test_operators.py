@@ -531,6 +531,33 @@ def test_pipeline_stages(spark):
     assert total == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in left.items()}
 
 
+def test_null_item_id_is_the_empty_text(spark):
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "two three"), ("b", "three four")], "item_id string, text string")
+    row = decontaminate.contamination(docs, items).head()
+    assert row.n_hit == 3 and row["items"] == ["", "b"]
+
+
+def test_pipeline_stages_keep_clashing_columns(spark):
+    """Columns that have the names of an operator's results come through every stage with their values."""
+    names = ["score", "Predicted", "offending", "n_deleted", "partners", "mask", "spans", "component", "key", "fingerprint", "n_hit", "items"]
+    line = "a line of words that two documents share, of more than sixty characters"
+    texts = {1: line + "\nfirst of them", 2: "second\n" + line, 3: None, 4: "", 5: "short", 6: "short"}
+    rows = [(i, t, "en", "x", None if t is None else len(t), *[f"{n}{i}" for n in names]) for i, t in texts.items()]
+    docs = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"{n} string" for n in names))
+    kept = docs
+    ids = {"toxicity": [1, 1, 2, 3, 4, 5, 6], "line_dedup": [1, 1, 2, 3, 4, 5, 6], "simhash_near_dedup": [1, 2, 3, 5], "decontamination": [1, 2, 3, 5]}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF)
+        found = kept.collect()
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in found) == ids[name], name
+        assert all(r[n] == f"{n}{r.doc_id}" for r in found for n in names)
+        want = texts | {2: "second"} if name != "toxicity" else texts
+        assert all(r.text == want[r.doc_id] and r.n_chars == (None if r.text is None else len(r.text)) for r in found)
+    assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, kept, SF).collect()} == {1, 2, 3, 5}
+
+
 def test_pipeline_edge_cases(spark, odd, none, tmp_path):
     for name in ("labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")

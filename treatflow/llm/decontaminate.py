@@ -162,7 +162,7 @@ def matches(index: DataFrame, windows: list[tuple[tuple[int, ...], list]], near:
 
 def slices(items: DataFrame, item_id: str, text: str, slice_bytes: int) -> Iterator[list[tuple]]:
     """The test items in slices of a bounded size, so that what is sent to the tasks has a bound."""
-    items = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text"))
+    items = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = int(total // slice_bytes) + 1
     for i in range(count):
@@ -176,7 +176,7 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, near: tup
     """(rows, matches): ``doc_id, key, n_words`` of every document row, and all occurrences of test windows.
 
     A window is ``window`` words of an item; a shorter item is one window.  Null and empty texts have no
-    words and no windows; a null item id is kept as null; repeated rows share id and key (a hash of the text) and so
+    words and no windows; a null item id is the empty text; repeated rows share id and key (a hash of the text) and so
     their matches; equal windows of several items match for each.  Other columns are not looked at.
     """
     if window >= GAP:

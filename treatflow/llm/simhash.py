@@ -256,7 +256,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, doc_id
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, the one of the smallest id (then of the smallest hash of the text)."""
+    """One document of each group, the one of the smallest id (then of the smallest hash of the text).
+
+    A null id comes last; of equal rows one stays; null and empty texts are one group, and a text is judged by its words
+    alone.  All columns stay as they are, an empty table gives an empty one.
+    """
     groups = near_duplicates(docs, shingle, distance, doc_id, text)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     group = [F.coalesce("component", "fingerprint").alias("g"), F.col("component").isNull().alias("n")]

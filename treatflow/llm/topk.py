@@ -184,9 +184,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
         return asked.withColumnsRenamed({"ids": "query_ids", "values": "query_values"}).join(
             trees, ["dim", "shard"]).mapInArrow(run, FOUND_SCHEMA)
 
-    # dimensions may lack some shards, so a block starts in the first shard that its dimension has
-    homes = trees.groupBy("dim").agg(F.min("shard").alias("home"))
-    placed = queries.join(homes, "dim")
+    # dimensions may lack some shards; blocks start in different ones of those that their dimension has
+    present = trees.groupBy("dim").agg(F.sort_array(F.collect_set("shard")).alias("shards"))
+    placed = queries.join(present, "dim").withColumn(
+        "home", F.get("shards", F.pmod(F.xxhash64("block"), F.size("shards")).cast("int"))).drop("shards")
     nothing = F.lit(None).cast("array<struct<query_id:bigint,score:bigint>>")
     first = cut_lineage(searched(placed.withColumnRenamed("home", "shard").withColumn("known", nothing)))
     known = first.groupBy("dim", "block").agg(F.collect_list(F.struct("query_id", "score")).alias("known"))
