@@ -361,29 +361,79 @@ def test_decontamination_digest(spark):
 
 # language model
 
-def test_lm_equals_brute_force(docs, odd, none):
-    for df in (docs, odd):
-        texts = [(r.doc_id, (r.text or "").encode().lower().split() + [None]) for r in df.collect()]
-        held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
-        trained = [w for i, w in texts if not held(i)]
-        count = Counter(w for ws in trained for w in ws)
-        total, types = sum(count.values()), len(count)
-        follow = Counter(p for ws in trained for p in zip(["<"] + ws, ws))
-        state = count | Counter({"<": len(trained)})
-        want = []
-        for i, ws in texts:
-            base = score = 0.0
-            for h, w in zip(["<"] + ws, ws):
-                p = (count[w] + 1) / (total + types + 1)
-                base += math.log10(p)
-                score += math.log10(0.4 * follow[h, w] / state[h] + 0.6 * p if state[h] else p)
-            want.append((i is None, i or 0, held(i), len(ws), sum(count[w] > 0 for w in ws), total, round(base, 4), round(score, 4)))
-        got = [(r.doc_id is None, r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4))
-               for r in lm.score_texts(df).collect()]
-        assert sorted(got) == sorted(want)
+def slow_scores(rows):
+    """(doc_id, held, tokens, known, N, base, score) with whole tables of counts and the plain recursion."""
+    texts = [(i, (t or "").encode().lower().split() + [None]) for i, t in rows]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    trained = [ws for i, ws in texts if not held(i)]
+    count = Counter(w for ws in trained for w in ws)
+    total, types = sum(count.values()), len(count)
+    follow = Counter(p for ws in trained for p in zip(["<"] + ws, ws))
+    third = Counter(p for ws in trained for p in zip(["<"] + ws, ws, ws[1:]))
+    state = count | Counter({"<": len(trained)})
+    size = lambda n: int(math.log2(n))
+    share = {}
+    for level, grams, history in ((1, follow, lambda g: state[g[0]]), (2, third, lambda g: follow[g[:2]])):
+        once, tokens = Counter(), Counter()
+        for g, n in grams.items():
+            once[size(history(g))] += n == 1
+            tokens[size(history(g))] += n
+        share.update({(level, c): (once[c] + 0.5) / (tokens[c] + 1) for c in tokens})
+
+    def p1(w):
+        return (count[w] + 1) / (total + types + 1)
+
+    def p2(h, w):
+        if not state[h]:
+            return p1(w)
+        b = share.get((1, size(state[h])), 0.5)
+        return (1 - b) * follow[h, w] / state[h] + b * p1(w)
+
+    def p3(g, h, w):
+        if not follow[g, h]:
+            return p2(h, w)
+        b = share.get((2, size(follow[g, h])), 0.5)
+        return (1 - b) * third[g, h, w] / follow[g, h] + b * p2(h, w)
+
+    out = []
+    for i, ws in texts:
+        line = ["<"] + ws
+        score = sum(math.log10(p2("<", w) if k == 0 else p3(line[k - 1], line[k], w)) for k, w in enumerate(ws))
+        out.append((i is None, i or 0, held(i), len(ws), sum(count[w] > 0 for w in ws), total, round(sum(math.log10(p1(w)) for w in ws), 4), round(score, 4)))
+    return sorted(out), (count, p2, p3)
+
+
+def test_lm_equals_brute_force(spark, docs, odd, none, monkeypatch):
+    rng = random.Random(4)
+    small = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(0, 30)))) for i in range(300)]
+    few = spark.createDataFrame(small + small[:40], "doc_id long, text string").repartition(5)
+    for df, size, tokens in ((docs, lm.BLOCK_BYTES, lm.BUCKET_TOKENS), (odd, lm.BLOCK_BYTES, lm.BUCKET_TOKENS), (few, 300, 700)):
+        monkeypatch.setattr(lm, "BLOCK_BYTES", size)
+        monkeypatch.setattr(lm, "BUCKET_TOKENS", tokens)
+        got = sorted((r.doc_id is None, r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4))
+                     for r in lm.score_texts(df).collect())
+        want, _ = slow_scores([(r.doc_id, r.text) for r in df.collect()])
+        assert [g[:6] for g in got] == [w[:6] for w in want]
+        assert all(g[6:] == pytest.approx(w[6:], abs=1e-3) for g, w in zip(got, want))
     assert lm.score_texts(none).count() == 0
 
 
+def test_lm_probabilities_sum_to_one():
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 12)))) for i in range(60)]
+    _, (count, p2, p3) = slow_scores(rows)
+    words = [*count, "unknown"]
+    for h in ("<", b"a", b"d"):
+        assert sum(p2(h, w) for w in words) == pytest.approx(1)
+        assert sum(p3(h, b"b", w) for w in words) == pytest.approx(1)
+
+
+def test_packed_hashes():
+    for n in (0, 1, 5000):
+        hashes = np.sort(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+        assert (lm.unpacked_hashes(lm.packed_hashes(hashes)) == hashes).all()
+
+
 # licences
 
 def test_licences(spark, odd, none):

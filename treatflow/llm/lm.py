@@ -1,13 +1,19 @@
 """Language model scores by a weighted backoff automaton over words.
 
-States are the words seen so far (one word of history) and the root.  A state has an arc for every word that
-followed it in training, with the log of the smoothed probability, and a failure arc to the root with the
-weight that the smoothing leaves; the root has an arc for every word.  A text is read once from left to right:
-each word takes its arc, or the failure arc and then the root's.
+States are the histories of two words and of one word that training has seen (the start of a text stands for a word),
+and the root.  A state has an arc for every word that followed it in training, which carries the log of the smoothed
+probability and leads to the longest history that is a state, and a failure arc to the history without its first word, which
+carries the weight that smoothing leaves for it; the root has an arc for every word.  Texts are read once from left to
+right, all of a block in step: each carries its state, takes its word's arc, or failure arcs until one is there.
+
+P(w | h) = (1 - b(h)) * c(h w) / c(h) + b(h) * P(w | h'), and P(w) = (c(w) + 1) / (N + V + 1).  The weight b(h) is
+estimated from counts of counts: among the histories that are about as frequent as h (by powers of two), the share of
+followers that were seen once, which is how often leaving one out leaves a follower unseen.
 
 The automaton grows with the corpus, so no task holds it whole.  Blocks of documents ask for the arcs that they
-can meet: they send the distinct hashes of their words and word pairs, with their own training counts, to
-buckets of hashes, which add them up and answer every block.
+can meet: they send the distinct hashes of their words and pairs, with their own training counts, to
+buckets of hashes, which add them up and answer every block.  Triples follow in a second round, but only those whose both
+pairs occur in other blocks, too: the others are counted where they are.
 """
 
 from __future__ import annotations
@@ -27,11 +33,13 @@ from treatflow.llm.common import remainder, text_blocks
 from treatflow.session import cut_lineage
 
 BLOCK_BYTES = 6 << 20
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 4_000_000
 END, START = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+CLASSES = 48
 BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, vocabulary binary, words binary"
-ASK_SCHEMA = "kind int, bucket int, block long, hashes binary, counts binary"
-ANSWER_SCHEMA = "block long, kind int, bucket int, totals binary, n_types long, n_tokens long"
+STATS = "array<struct<level:int,class:int,once:long,tokens:long>>"
+ASK_SCHEMA = f"bucket int, block long, hashes array<binary>, counts array<binary>, classes binary, stats {STATS}"
+ANSWER_SCHEMA = f"bucket int, block long, totals array<binary>, n_types long, n_tokens long, stats {STATS}"
 SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
                 "score double")
 
@@ -64,12 +72,15 @@ def tokenized(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, numbers, np.bincount(owner, minlength=len(sizes))
 
 
-def pairs(numbers: np.ndarray, sizes: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(state, word) before and at every place; the state before a text's first word has the number ``n_words``."""
-    before = np.empty_like(numbers)
-    before[1:] = numbers[:-1]
-    before[np.cumsum(sizes) - sizes] = n_words
-    return before, numbers
+def packed_hashes(sorted_hashes: np.ndarray) -> bytes:
+    """Sorted hashes as differences, byte plane by byte plane: the upper planes are almost empty."""
+    steps = np.diff(sorted_hashes, prepend=np.uint64(0)).astype("<u8")
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked_hashes(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def mixed(state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -77,46 +88,162 @@ def mixed(state: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
-class BlockArcs:
-    """The distinct words and word pairs of a block, in the order in which buckets are asked."""
-
-    def __init__(self, vocabulary: np.ndarray, numbers: np.ndarray, sizes: np.ndarray, held: np.ndarray, buckets: int):
-        self.before, self.numbers = pairs(numbers, sizes, len(vocabulary))
-        trained = np.repeat(~held, sizes)
-        states = np.append(vocabulary, np.uint64(START))
-        codes, self.pair = np.unique(self.before * (len(vocabulary) + 1) + self.numbers, return_inverse=True)
-        self.kinds = []
-        for hashes, inverse in ((vocabulary, self.numbers),
-                                (mixed(states[codes // (len(vocabulary) + 1)], states[codes % (len(vocabulary) + 1)]), self.pair)):
-            counts = np.bincount(inverse[trained], minlength=len(hashes))
-            bucket = (hashes >> np.uint64(33)).astype(np.int64) % buckets
-            order = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            self.kinds.append((hashes, counts, order, edges))
+def class_of(counts: np.ndarray) -> np.ndarray:
+    """Power of two of a history's count."""
+    return np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), CLASSES - 1)
+
+
+def class_stats(level: int, classes: np.ndarray, totals: np.ndarray) -> list[dict]:
+    """Followers seen once, and all, by class of their history."""
+    once = np.bincount(classes[totals == 1], minlength=CLASSES)
+    tokens = np.bincount(classes, weights=totals, minlength=CLASSES).astype(np.int64)
+    return [{"level": level, "class": int(c), "once": int(once[c]), "tokens": int(tokens[c])} for c in np.flatnonzero(tokens)]
+
+
+class Ask:
+    """Hashes to ask for, in the order in which buckets get them."""
+
+    def __init__(self, hashes: np.ndarray, own: np.ndarray, chosen: np.ndarray, buckets: int):
+        self.own, self.chosen, self.hashes = own, chosen, hashes
+        bucket = (hashes[chosen] >> np.uint64(33)).astype(np.int64) % buckets
+        order = np.lexsort((hashes[chosen], bucket))
+        self.order = chosen[order]
+        self.edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+    def part(self, bucket: int) -> np.ndarray:
+        return self.order[self.edges[bucket]:self.edges[bucket + 1]]
+
+    def totals(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(counts over all blocks, whether this block is the first with it); what was not asked for is the block's own."""
+        sums, first = self.own.copy(), self.own > 0
+        for bucket, blob in answers.items():
+            found = unpacked(blob, "<u8").astype(np.int64)
+            sums[self.part(bucket)] = found >> 1
+            first[self.part(bucket)] = (found & 1).astype(bool)
+        return sums, first
+
+
+class BlockText:
+    """A block's words, pairs and triples, each numbered, and how often training has them here."""
+
+    def __init__(self, row: dict, buckets: int):
+        self.vocabulary = np.frombuffer(row["vocabulary"], "<u8")
+        self.numbers = unpacked(row["words"], "<u4").astype(np.int64)
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
+        self.width = len(self.vocabulary) + 1
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.trained = np.repeat(~np.array(row["held"], dtype=bool), self.sizes)
+        self.buckets = buckets
+        # the state before a text's first word has the number after the last word
+        before = np.empty_like(self.numbers)
+        before[1:] = self.numbers[:-1]
+        before[self.first] = self.width - 1
+        self.pairs, self.pair = np.unique(before * self.width + self.numbers, return_inverse=True)
+        states = np.append(self.vocabulary, np.uint64(START))
+        self.pair_hashes = mixed(states[self.pairs // self.width], states[self.pairs % self.width])
+        count = lambda inverse, trained, n: np.bincount(inverse[trained], minlength=n)
+        self.words_asked = Ask(self.vocabulary, count(self.numbers, self.trained, len(self.vocabulary)),
+                               np.arange(len(self.vocabulary)), buckets)
+        self.pairs_asked = Ask(self.pair_hashes, count(self.pair, self.trained, len(self.pairs)), np.arange(len(self.pairs)), buckets)
+
+    def with_triples(self, pair_totals: np.ndarray) -> BlockText:
+        """Number the triples (pair, word); ask for those whose both pairs occur elsewhere, too."""
+        inner = np.ones(len(self.numbers), dtype=bool)
+        inner[self.first] = False
+        at = np.flatnonzero(inner)
+        self.triples, where, triple = np.unique(
+            self.pair[at - 1] * self.width + self.numbers[at], return_index=True, return_inverse=True)
+        self.last_pair = self.pair[at[where]]
+        history = self.triples // self.width
+        own = np.bincount(triple[self.trained[at]], minlength=len(self.triples))
+        elsewhere = pair_totals > self.pairs_asked.own
+        hashes = mixed(self.pair_hashes[history] ^ np.uint64(END), self.vocabulary[self.triples % self.width])
+        self.triples_asked = Ask(hashes, own, np.flatnonzero(elsewhere[history] & elsewhere[self.last_pair]), self.buckets)
+        return self
 
 
 class Automaton:
-    """Weights of a block's arcs: base-10 logs of interpolated probabilities.
+    """The arcs and failure arcs that a block's texts can meet.
 
-    P(w | h) = (1 - backoff) * c(h w) / c(h) + backoff * P(w), and P(w) = (c(w) + 1) / (N + V + 1).
-    An arc that was never seen is the failure arc of its state and the root's arc; a state that was never
-    seen fails at no cost.
+    States are numbers of pairs (two words of history) and of words or the start (one word); an arc's key is its state times
+    the number of words, plus its word.  Arrays of keys are sorted, a weight of NaN is no arc.
     """
 
-    def __init__(self, root_counts: np.ndarray, n_tokens: int, n_types: int, backoff: float):
-        self.root = np.log10((root_counts + 1) / (n_tokens + n_types + 1))
-        self.backoff = backoff
-
-    def arcs(self, pair_counts: np.ndarray, state_counts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        root = self.root[words]
-        fail = np.where(state_counts > 0, np.log10(self.backoff), 0.0)
-        share = pair_counts / np.maximum(state_counts, 1)
-        seen = np.log10((1 - self.backoff) * share + self.backoff * 10.0**root + 1e-300)
-        return np.where(pair_counts > 0, seen, fail + root)
-
-
-def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2, backoff: float = 0.6, doc_id: str = "doc_id",
-                text: str = "text") -> DataFrame:
+    def __init__(self, block: BlockText, totals: list[np.ndarray], n_tokens: int, n_types: int, n_trained: int, backoff: np.ndarray):
+        words, pairs, triples = totals
+        self.width, self.pairs, self.triples = block.width, block.pairs, block.triples
+        self.root = np.log10((words + 1) / (n_tokens + n_types + 1))
+        states = np.append(words, n_trained)
+        weight = backoff[0][class_of(states)]
+        history, word = self.pairs // self.width, self.pairs % self.width
+        self.pair_arcs = self._arcs(pairs, states[history], weight[history], self.root[word])
+        self.fail = np.where(states > 0, np.log10(weight), 0.0)
+        longer = backoff[1][class_of(pairs)]
+        history = self.triples // self.width
+        self.triple_arcs = self._arcs(triples, pairs[history], longer[history], self.pair_arcs[block.last_pair])
+        self.pair_fail = np.log10(longer)
+        self.is_state = pairs > 0
+
+    @staticmethod
+    def _arcs(counts: np.ndarray, history: np.ndarray, weight: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        share = counts / np.maximum(history, 1)
+        return np.where(counts > 0, np.log10((1 - weight) * share + weight * 10.0 ** np.where(counts > 0, lower, 0.0)), np.nan)
+
+    def read(self, numbers: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Log10 probability of every text: one pass from left to right, each text with its state."""
+        order = np.argsort(-sizes, kind="stable")
+        first, left = first[order], sizes[order]
+        score = np.zeros(len(sizes))
+        word_state = np.full(len(sizes), self.width - 1)
+        pair_state = np.full(len(sizes), -1)
+        active = len(sizes)
+        for step in range(int(left[0]) if len(left) else 0):
+            active = int(np.searchsorted(-left[:active], -step, "left"))
+            word = numbers[first[:active] + step]
+            pair, longer = word_state[:active], pair_state[:active]
+            gained = np.full(active, np.nan)
+            deep = np.flatnonzero(longer >= 0)
+            if len(deep):
+                key = longer[deep] * self.width + word[deep]
+                at = np.minimum(np.searchsorted(self.triples, key), len(self.triples) - 1)
+                gained[deep] = np.where(self.triples[at] == key, self.triple_arcs[at], np.nan)
+            failed = np.isnan(gained)
+            # the failure arc of two words of history, and the arc of the last one
+            at = np.searchsorted(self.pairs, pair * self.width + word)
+            cost = np.where(longer >= 0, self.pair_fail[longer], 0.0)
+            shorter = self.pair_arcs[at]
+            # the failure arc of one word of history, and the root's arc, which is always there
+            shorter = np.where(np.isnan(shorter), self.fail[pair] + self.root[word], shorter)
+            score[:active] += np.where(failed, cost + shorter, gained)
+            pair_state[:active] = np.where(self.is_state[at], at, -1)
+            word_state[:active] = word
+        out = np.empty_like(score)
+        out[order] = score
+        return out
+
+
+def summed(table: pa.Table, kinds: int) -> tuple[list[list[bytes]], list[np.ndarray], list[np.ndarray]]:
+    """Totals for every message of a bucket, by kind, and the distinct hashes' sums and classes."""
+    answers, sums_by_kind, first_by_kind = [], [], []
+    for kind in range(kinds):
+        hashes = [unpacked_hashes(h[kind]) for h in table.column("hashes").to_pylist()]
+        counts = np.concatenate([unpacked(c[kind], "<u4") for c in table.column("counts").to_pylist()])
+        edges = np.cumsum([0, *map(len, hashes)])
+        distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
+        sums = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
+        # the first message whose block was trained on it
+        trained = np.flatnonzero(counts)
+        _, place = np.unique(inverse[trained], return_index=True)
+        first = np.zeros(len(inverse), dtype=np.int64)
+        first[trained[place]] = 1
+        found = sums[inverse] * 2 + first
+        answers.append([packed(found[a:b], "<u8") for a, b in zip(edges, edges[1:])])
+        sums_by_kind.append(sums)
+        first_by_kind.append(first)
+    return answers, sums_by_kind, first_by_kind
+
+
+def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of every row by a model of the rows outside the held-out fold; see ``SCORE_SCHEMA``.
 
     ``base_score`` is by single words, ``score`` by the automaton.  Null and empty texts are their end alone, a
@@ -142,58 +269,92 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2, backoff: fl
         F.sum("d.sizes").alias("tokens"), F.sum((~F.col("d.held")).cast("long")).alias("trained")).first()
     buckets = int((known["tokens"] or 0) // BUCKET_TOKENS) + 1
     n_trained = known["trained"] or 0
+    stats_type = pa.list_(pa.struct([("level", pa.int32()), ("class", pa.int32()), ("once", pa.int64()), ("tokens", pa.int64())]))
+    blobs = pa.list_(pa.binary())
 
-    def arcs_of(row: dict) -> BlockArcs:
-        return BlockArcs(np.frombuffer(row["vocabulary"], "<u8"), unpacked(row["words"], "<u4").astype(np.int64),
-                         np.array(row["sizes"], dtype=np.int64), np.array(row["held"], dtype=bool), buckets)
+    def messages(block: int, asks: list[Ask], classes: np.ndarray | None, stats: list[dict]) -> pa.Table:
+        """One row per bucket that is asked; the first row of a block carries its counts of counts."""
+        wanted = [b for b in range(buckets) if any(len(a.part(b)) for a in asks)] or [0]
+        counted = [[packed(a.own[a.part(b)], "<u4") for a in asks] for b in wanted]
+        return pa.table({
+            "bucket": pa.array(wanted, pa.int32()), "block": pa.array([block] * len(wanted), pa.int64()),
+            "hashes": pa.array([[packed_hashes(a.hashes[a.part(b)]) for a in asks] for b in wanted], blobs), "counts": pa.array(counted, blobs),
+            "classes": pa.array([b"" if classes is None else packed(classes[asks[0].part(b)], "u1") for b in wanted], pa.binary()),
+            "stats": pa.array([stats, *[[]] * (len(wanted) - 1)], stats_type)})
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                for kind, (hashes, counts, order, edges) in enumerate(arcs_of(row).kinds):
-                    for b in np.flatnonzero(np.diff(edges)).tolist():
-                        part = order[edges[b]:edges[b + 1]]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([kind], pa.int32()), pa.array([b], pa.int32()), pa.array([row["block"]]),
-                             pa.array([hashes[part].astype("<u8").tobytes()]), pa.array([packed(counts[part], "<u4")])],
-                            ["kind", "bucket", "block", "hashes", "counts"])
-
-    def add_up(table: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(h.as_py(), "<u8") for h in table.column("hashes")]
-        counts = np.concatenate([unpacked(c.as_py(), "<u4") for c in table.column("counts")])
-        distinct, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        sums = np.bincount(inverse, weights=counts, minlength=len(distinct)).astype(np.int64)
-        totals = sums[inverse]
-        edges = np.cumsum([0, *map(len, hashes)])
-        first = np.arange(len(hashes)) == 0
-        return pa.table({
-            "block": table.column("block"), "kind": table.column("kind"), "bucket": table.column("bucket"),
-            "totals": pa.array([packed(totals[a:b], "<u8") for a, b in zip(edges, edges[1:])], pa.binary()),
-            "n_types": pa.array(np.where(first, int((sums > 0).sum()), 0)), "n_tokens": pa.array(np.where(first, int(sums.sum()), 0))})
+                text_block = BlockText(row, buckets)
+                yield from messages(row["block"], [text_block.words_asked, text_block.pairs_asked], None, []).to_batches()
 
-    answers = cut_lineage(blocks.mapInArrow(ask, ASK_SCHEMA).groupBy("kind", "bucket").applyInArrow(add_up, ANSWER_SCHEMA))
-    whole = answers.filter("kind = 0").agg(F.sum("n_types").alias("v"), F.sum("n_tokens").alias("n")).first()
+    def answered(table: pa.Table, answers: list[list[bytes]], n_types: int, n_tokens: int, stats: list[dict]) -> pa.Table:
+        n = table.num_rows
+        return pa.table({
+            "bucket": table.column("bucket"), "block": table.column("block"), "totals": pa.array([list(a) for a in zip(*answers)], blobs),
+            "n_types": pa.array([n_types] + [0] * (n - 1), pa.int64()), "n_tokens": pa.array([n_tokens] + [0] * (n - 1), pa.int64()),
+            "stats": pa.array([stats, *[[]] * (n - 1)], stats_type)})
+
+    def add_words(table: pa.Table) -> pa.Table:
+        answers, sums, _ = summed(table, 2)
+        return answered(table, answers, int((sums[0] > 0).sum()), int(sums[0].sum()), [])
+
+    def add_triples(table: pa.Table) -> pa.Table:
+        answers, sums, first = summed(table, 1)
+        # a triple's history has one class in all messages: the first one with it tells
+        classes = np.concatenate([unpacked(c, "u1") for c in table.column("classes").to_pylist()]).astype(np.int64)
+        owned = first[0] == 1
+        totals = np.concatenate([unpacked(a, "<u8") for a in answers[0]]).astype(np.int64) >> 1
+        return answered(table, answers, 0, 0, class_stats(1, classes[owned], totals[owned]))
+
+    asked = blocks.mapInArrow(ask_words, ASK_SCHEMA)
+    answers = cut_lineage(asked.groupBy("bucket").applyInArrow(add_words, ANSWER_SCHEMA))
+    whole = answers.agg(F.sum("n_types").alias("v"), F.sum("n_tokens").alias("n")).first()
     n_types, n_tokens = whole["v"] or 0, whole["n"] or 0
 
-    def score(own: pa.Table, answered: pa.Table) -> pa.Table:
+    def counted(row: dict, rows: list[dict]) -> tuple[BlockText, np.ndarray, np.ndarray, np.ndarray]:
+        """The block with its words' and pairs' totals, and the pairs that it is the first to have."""
+        text_block = BlockText(row, buckets)
+        words, _ = text_block.words_asked.totals({a["bucket"]: a["totals"][0] for a in rows})
+        pairs, first = text_block.pairs_asked.totals({a["bucket"]: a["totals"][1] for a in rows})
+        return text_block.with_triples(pairs), words, pairs, first
+
+    def ask_triples(own: pa.Table, found: pa.Table) -> pa.Table:
+        row = own.to_pylist()[0]
+        text_block, words, pairs, first = counted(row, found.to_pylist())
+        history = np.append(words, n_trained)[text_block.pairs // text_block.width]
+        stats = class_stats(0, class_of(history[first]), pairs[first])
+        ask = text_block.triples_asked
+        classes = class_of(pairs[text_block.triples // text_block.width])
+        local = ask.own > 0
+        local[ask.chosen] = False
+        stats += class_stats(1, classes[local], ask.own[local])
+        return messages(row["block"], [ask], classes, stats)
+
+    more = cut_lineage(blocks.groupBy("block").cogroup(answers.select("bucket", "block", "totals").groupBy("block")).applyInArrow(
+        ask_triples, ASK_SCHEMA))
+    deeper = cut_lineage(more.groupBy("bucket").applyInArrow(add_triples, ANSWER_SCHEMA))
+    # at most two levels of so many classes
+    by_class = more.select(F.inline("stats")).unionAll(deeper.select(F.inline("stats"))).groupBy("level", "class").agg(
+        F.sum("once").alias("once"), F.sum("tokens").alias("tokens")).collect()
+    backoff = np.full((2, CLASSES), 0.5)
+    for r in by_class:
+        backoff[r["level"], r["class"]] = (r["once"] + 0.5) / (r["tokens"] + 1)
+
+    def score(own: pa.Table, found: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
-        arcs = arcs_of(row)
-        sums = [np.zeros(len(k[0]), dtype=np.int64) for k in arcs.kinds]
-        for a in answered.to_pylist():
-            _, _, order, edges = arcs.kinds[a["kind"]]
-            sums[a["kind"]][order[edges[a["bucket"]]:edges[a["bucket"] + 1]]] = unpacked(a["totals"], "<u8")
-        automaton = Automaton(sums[0], n_tokens, n_types, backoff)
-        states = np.append(sums[0], n_trained)
-        weights = automaton.arcs(sums[1][arcs.pair], states[arcs.before], arcs.numbers)
-        sizes = np.array(row["sizes"], dtype=np.int64)
-        first = np.cumsum(sizes) - sizes
-        by_text = lambda values: np.add.reduceat(values, first)
+        rows = found.to_pylist()
+        text_block, words, pairs, _ = counted(row, [a for a in rows if len(a["totals"]) == 2])
+        triples, _ = text_block.triples_asked.totals({a["bucket"]: a["totals"][0] for a in rows if len(a["totals"]) == 1})
+        automaton = Automaton(text_block, [words, pairs, triples], n_tokens, n_types, n_trained, backoff)
+        sizes = text_block.sizes
+        by_text = lambda values: np.add.reduceat(values, text_block.first)
         return pa.table({
             "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
-            "n_tokens": pa.array(sizes), "n_known": pa.array(by_text((sums[0][arcs.numbers] > 0).astype(np.int64))),
-            "train_tokens": pa.array(np.full(len(sizes), n_tokens)), "base_score": pa.array(by_text(automaton.root[arcs.numbers])),
-            "score": pa.array(by_text(weights))})
+            "n_tokens": pa.array(sizes), "n_known": pa.array(by_text((words[text_block.numbers] > 0).astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(sizes), n_tokens)), "base_score": pa.array(by_text(automaton.root[text_block.numbers])),
+            "score": pa.array(automaton.read(text_block.numbers, text_block.first, sizes))})
 
-    return blocks.groupBy("block").cogroup(answers.select("block", "kind", "bucket", "totals").groupBy("block")).applyInArrow(
-        score, SCORE_SCHEMA)
+    both = answers.select("block", "bucket", "totals").unionAll(deeper.select("block", "bucket", "totals"))
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(score, SCORE_SCHEMA)
