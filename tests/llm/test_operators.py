@@ -208,32 +208,59 @@ def test_gear_hash_and_shift_resistance(spark):
         assert got[i].text.startswith(own[i]) and got[i].text.endswith(own[i + 5])
 
 
-def brute_chunks(rows, bits=5, least=48, most=1024):
+def brute_chunks(rows, bits=4, least=32, most=1024, min_run=112):
+    """(text, ids of first occurrences) of every document, byte by byte."""
     first, out = {}, {}
     for key, text in sorted(rows.items()):
         data = text.encode()
-        h, start, kept = 0, 0, b""
+        h, start, pieces = 0, 0, []
+
+        def cut(end):
+            pieces.append((start, end, first.setdefault(data[start:end], (key, start))))
+
         for i in range(len(data) + 1):
+            # a chunk that grew too long ends before the character that would make it longer
+            if i - start > most:
+                end = start + most
+                while data[end] & 0xC0 == 0x80:
+                    end -= 1
+                cut(end)
+                start = end
             whole = i == len(data) or data[i] & 0xC0 != 0x80
-            cut = i == len(data) or (i and whole and h >> (32 - bits) == 0 and i - start >= least)
-            if cut and i > start:
-                piece = data[start:i]
-                if len(piece) < least or first.setdefault(piece, (key, start)) == (key, start):
-                    kept += piece
+            if i > start and (i == len(data) or (whole and h >> (32 - bits) == 0 and i - start >= least)):
+                cut(i)
                 start = i
             if i < len(data):
                 h = ((h << 1) + int(chunks.GEAR[data[i]])) & 0xFFFFFFFF
-        out[key] = kept.decode()
+        runs = []
+        for a, b, place in pieces:
+            if place == (key, a):
+                continue
+            if runs and runs[-1][1] == a:
+                runs[-1][1] = b
+                runs[-1][2].append(place[0])
+            else:
+                runs.append([a, b, [place[0]]])
+        runs = [r for r in runs if r[1] - r[0] >= min_run or r[1] - r[0] == len(data)]
+        kept, at = b"", 0
+        for a, b, _ in runs:
+            kept, at = kept + data[at:a], b
+        out[key] = ((kept + data[at:]).decode(), sorted({i for r in runs for i in r[2]}))
     return out
 
 
-def test_substring_dedup_equals_brute_force(docs, odd, none):
+def test_substring_dedup_equals_brute_force(spark, docs, odd, none):
     texts = {r.doc_id: r.text for r in docs.limit(120).collect()}
-    got = {r.doc_id: r.text for r in chunks.dedup_substrings(docs.filter(F.col("doc_id").isin(list(texts))), most=1 << 20).collect()}
-    assert got == brute_chunks(texts, most=1 << 20)
+    rng = random.Random(9)
+    bank = ["".join(rng.choice("abé ") for _ in range(rng.choice([10, 60, 200]))) for _ in range(12)]
+    made = {i: "".join(rng.choice(bank) for _ in range(rng.randint(0, 6))) for i in range(80)}
+    for rows, most in ((texts, 1024), (made, 1024), (made, 40)):
+        df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+        got = {r.doc_id: (r.text, r.sources) for r in chunks.dedup_substrings(df, most=most).collect()}
+        assert got == brute_chunks(rows, most=most)
     found = chunks.dedup_substrings(odd).collect()
     assert len(found) == len(ROWS) and [r.text for r in found if r.doc_id == 2] == [None]
-    assert [len(r.text) for r in found if r.doc_id == 5][0] < 60 and chunks.dedup_substrings(none).count() == 0
+    assert [r.text for r in found if r.doc_id == 5] == [""] and chunks.dedup_substrings(none).count() == 0
 
 
 # SimHash

@@ -49,7 +49,7 @@ def chunk_borders(data: np.ndarray, border: np.ndarray, least: int, most: int) -
     return ends if size and ends[-1] == size else [*ends, size] if size else []
 
 
-def chunk_texts(docs: DataFrame, bits: int = 5, least: int = 48, most: int = 1024, doc_id: str = "doc_id",
+def chunk_texts(docs: DataFrame, bits: int = 4, least: int = 32, most: int = 1024, doc_id: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """Chunks of all texts: row key, place in bytes and a digest of 128 bits."""
     shift = np.uint32(32 - bits)
@@ -85,36 +85,48 @@ def chunk_texts(docs: DataFrame, bits: int = 5, least: int = 48, most: int = 102
     return keyed.select("__id", "__h", F.col(text).alias("text")).mapInArrow(run, CHUNK_SCHEMA)
 
 
-def dedup_substrings(docs: DataFrame, bits: int = 5, least: int = 48, most: int = 1024, doc_id: str = "doc_id",
+def _chunk_runs() -> str:
+    """Chunks that follow one another joined to runs: start, stop, number of chunks and ids of the first occurrences."""
+    kind = "array<struct<start:int,stop:int,n:int,sources:array<bigint>>>"
+    last = "element_at(acc, -1)"
+    begun = "named_struct('start', s.start, 'stop', s.start + s.bytes, 'n', 1, 'sources', array(s.source))"
+    longer = (f"named_struct('start', {last}.start, 'stop', s.start + s.bytes, 'n', {last}.n + 1, "
+              f"'sources', array_append({last}.sources, s.source))")
+    return (f"aggregate(__chunks, cast(array() as {kind}), (acc, s) -> if(size(acc) > 0 and try_element_at(acc, -1).stop = s.start, "
+            f"concat(slice(acc, 1, size(acc) - 1), array({longer})), array_append(acc, {begun})))")
+
+
+def dedup_substrings(docs: DataFrame, bits: int = 4, least: int = 32, most: int = 1024, min_run: int = 112, doc_id: str = "doc_id",
                      text: str = "text") -> DataFrame:
-    """All rows, with the chunks that occur earlier cut from ``text``; adds ``n_removed``, ``removed_bytes``, ``sources``.
+    """All rows, with repeated stretches cut from ``text``; adds ``n_removed``, ``removed_bytes``, ``sources``.
 
-    The first occurrence of a chunk, by id, text and place, stays; every later one goes, also within a text.
-    Chunks shorter than ``least`` (ends of texts) stay.  ``sources`` are the ids of the first occurrences.
+    The first occurrence of a chunk, by id, text and place, stays; later ones are repeated, also within a text.  Repeated
+    chunks that follow one another are a stretch, which goes if it has at least ``min_run`` bytes or is the whole text: a
+    chunk alone may agree by chance.  ``n_removed`` counts chunks, ``sources`` are the ids of their first occurrences.
     First occurrences are aggregated before the shuffle, and only digests that repeat are joined back.  Null text
     stays null, a null id counts as the smallest id, equal rows are one document and fare alike.  Columns of the
     result's names are replaced, other columns stay.
     """
-    each = cut_lineage(chunk_texts(docs, bits, least, most, doc_id, text).filter(F.col("bytes") >= least))
+    each = cut_lineage(chunk_texts(docs, bits, least, most, doc_id, text))
     place = F.struct("__id", "__h", "start")
     first = each.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last")
     first = cut_lineage(first.select("high", "low", "first"))
     later = each.join(broadcast_if_small(first), ["high", "low"]).filter(place != F.col("first"))
     spans = later.groupBy(F.col("__id").alias("__cid"), F.col("__h").alias("__ch")).agg(
-        F.array_sort(F.collect_set(F.struct("start", "bytes"))).alias("__spans"),
-        F.array_sort(F.collect_set(F.col("first.__id"))).alias("__sources"))
-    spans = cut_lineage(spans)
+        F.array_sort(F.collect_set(F.struct("start", "bytes", F.col("first.__id").alias("source")))).alias("__chunks"))
+    spans = cut_lineage(spans.select("__cid", "__ch", F.expr(_chunk_runs()).alias("__runs")))
     quoted = "`" + text.replace("`", "``") + "`"
-    # the stretches between the spans that go, cut from the bytes and joined
+    large = F.expr(f"filter(__runs, r -> r.stop - r.start >= {min_run} or r.stop - r.start = octet_length({quoted}))")
+    # the stretches between the runs that go, cut from the bytes and joined
     kept = F.expr(f"""array_join(zip_with(
-        array_prepend(transform(__spans, s -> s.start + s.bytes), 0),
-        array_append(transform(__spans, s -> s.start), octet_length({quoted})),
+        array_prepend(transform(__runs, r -> r.stop), 0),
+        array_append(transform(__runs, r -> r.start), octet_length({quoted})),
         (a, b) -> cast(substring(cast({quoted} AS binary), a + 1, b - a) AS string)), '')""")
     joined = with_row_key(without(docs, "n_removed", "removed_bytes", "sources"), doc_id, text).join(
-        broadcast_if_small(spans), (F.col("__id") == F.col("__cid")) & (F.col("__h") == F.col("__ch")), "left")
+        broadcast_if_small(spans), (F.col("__id") == F.col("__cid")) & (F.col("__h") == F.col("__ch")), "left").withColumn("__runs", large)
     return joined.withColumns({
-        text: F.when(F.col("__spans").isNull(), F.col(text)).otherwise(kept),
-        "n_removed": F.when(F.col("__spans").isNull(), 0).otherwise(F.size("__spans")),
-        "removed_bytes": F.coalesce(F.expr("aggregate(__spans, 0, (n, s) -> n + s.bytes)"), F.lit(0)),
-        "sources": F.coalesce("__sources", F.array().cast("array<long>")),
-    }).drop("__id", "__h", "__cid", "__ch", "__spans", "__sources")
+        text: F.when(F.coalesce(F.size("__runs"), F.lit(-1)) <= 0, F.col(text)).otherwise(kept),
+        "n_removed": F.coalesce(F.expr("aggregate(__runs, 0, (n, r) -> n + r.n)"), F.lit(0)),
+        "removed_bytes": F.coalesce(F.expr("aggregate(__runs, 0, (n, r) -> n + r.stop - r.start)"), F.lit(0)),
+        "sources": F.coalesce(F.expr("array_sort(array_distinct(flatten(transform(__runs, r -> r.sources))))"), F.array().cast("array<long>")),
+    }).drop("__id", "__h", "__cid", "__ch", "__runs")
