@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.compare import connect, difference
-from treatflow.llm import chunks, decontaminate, licences, lines, lm, packing, queries, simhash, topk, toxicity, urls
+from treatflow.llm import chunks, common, decontaminate, licences, lines, lm, packing, queries, simhash, topk, toxicity, urls
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, score string, host string, n_deleted int, lang string, source string, n_chars long"
@@ -169,6 +169,57 @@ def test_urls(spark):
 
 # toxicity
 
+def plain_toxicity(model, text):
+    """The noisy-or from its definition: sentences cut by hand, every feature of every word looked up."""
+    clean = 1 - model.leak
+    for sentence in re.split(r"[.!?\n]", text or ""):
+        words = {"".join(c for c in run if c.isalpha()) for run in re.split(r"[\W\d_]+", sentence.lower())} - {""}
+        total, known = model.bias, False
+        for word in words:
+            for feature in [word] + ["<" + word[:n] for n in (5, 6, 7) if n < len(word)]:
+                if feature in model.weights:
+                    total, known = total + model.weights[feature], True
+        if known:
+            clean *= 1 - 1 / (1 + math.exp(-min(max(total, -30), 30)))
+    return 1 - clean
+
+
+def test_toxicity_scores_equal_the_definition(spark, docs, odd):
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert model.weights
+    for df in (docs, odd):
+        for r in toxicity.score_documents(df, model).collect():
+            assert r.score == pytest.approx(plain_toxicity(model, r.text), abs=1e-9) and r.predicted == (r.score >= 0.5)
+
+
+def test_toxicity_training_reaches_a_maximum():
+    """No small step of a weight, the bias or the leak makes the labelled documents clearly likelier."""
+    rng = random.Random(3)
+    bad, good = ["vile", "awful", "nasty"], ["river", "stone", "walk", "house", "green"]
+    sample = []
+    for _ in range(200):
+        toxic = rng.random() < 0.4
+        sentences = [" ".join(rng.choice(good) for _ in range(4)) for _ in range(3)]
+        if toxic:
+            sentences[rng.randrange(3)] += " " + rng.choice(bad)
+        elif rng.random() < 0.2:
+            sentences[0] += " vile"
+        sample.append((". ".join(sentences), int(toxic)))
+    model = toxicity.train(sample, rounds=1500)
+
+    def likelihood(m):
+        p = [min(max(plain_toxicity(m, t), 1e-9), 1 - 1e-9) for t, _ in sample]
+        return sum(math.log(v if y else 1 - v) for v, (_, y) in zip(p, sample)) / len(sample) - 3e-4 * sum(map(abs, m.weights.values()))
+
+    best = likelihood(model)
+    assert set(model.weights) <= set(bad) and model.weights
+    for name in model.weights:
+        for step in (-0.1, 0.1):
+            assert likelihood(toxicity.Model(model.weights | {name: model.weights[name] + step}, model.bias, model.leak)) < best + 2e-3
+    for step in (-0.2, 0.2):
+        assert likelihood(toxicity.Model(model.weights, model.bias + step, model.leak)) < best + 2e-3
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     scored = entry.queries()["op4_toxicity"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("held_out")
@@ -265,6 +316,15 @@ def test_substring_dedup_equals_brute_force(spark, docs, odd, none):
 
 # SimHash
 
+def test_simhash_of_hot_fingerprints_without_broadcast(spark, monkeypatch):
+    texts = ["the same words in many documents"] * 60 + [f"own words of {i} and {i * i} here" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = sorted(map(tuple, simhash.near_duplicates(docs).collect()))
+    monkeypatch.setattr(common, "BROADCAST_LIMIT_BYTES", 0)
+    monkeypatch.setattr(common, "HOT_SHARE", 5)
+    assert sorted(map(tuple, simhash.near_duplicates(docs).collect())) == want and {w[3] for w in want[:60]} == {0}
+
+
 def components_of(prints, distance):
     values = np.array(prints, dtype=np.int64).view(np.uint64)
     parent = list(range(len(values)))
@@ -552,8 +612,8 @@ def test_line_dedup_of_random_documents(spark, monkeypatch):
     want = brute_lines(rows, 60)
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == want
     # too large to broadcast: common runs are joined apart
-    monkeypatch.setattr(lines, "BROADCAST_LIMIT_BYTES", 0)
-    monkeypatch.setattr(lines, "HOT_SHARE", 40)
+    monkeypatch.setattr(common, "BROADCAST_LIMIT_BYTES", 0)
+    monkeypatch.setattr(common, "HOT_SHARE", 40)
     assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == want
 
 

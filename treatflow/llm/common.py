@@ -10,6 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from treatflow.session import BROADCAST_LIMIT_BYTES, estimated_bytes
+
+HOT_SHARE = 10_000       # a key with more than this part of all rows is joined apart
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -72,3 +75,18 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     places = np.repeat(starts - (ends - lengths), lengths)
     places += np.arange(total)
     return values[places]
+
+
+def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """``rows`` with the row of a written ``table`` that has their key; ``table`` has each key once, with its rows in ``n``.
+
+    No key is hot: a small table is broadcast; of a large one, keys with a fixed part of all rows are few, so these are
+    broadcast and the others are joined by shuffle.
+    """
+    if estimated_bytes(table) <= BROADCAST_LIMIT_BYTES:
+        return rows.join(F.broadcast(table), key)
+    # at most HOT_SHARE keys hold that part of all rows each
+    least = (table.agg(F.sum(n)).head()[0] or 0) // HOT_SHARE + 1
+    hot, cold = table.filter(F.col(n) >= least), table.filter(F.col(n) < least)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))

@@ -20,14 +20,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treatflow.llm.common import text_chunks, with_row_key, without
-from treatflow.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, cut_lineage, estimated_bytes
+from treatflow.llm.common import join_counted, text_chunks, with_row_key, without
+from treatflow.session import broadcast_if_small, cut_lineage
 
 LINED_SCHEMA = "__id long, __h long, at array<int>, hashes array<long>, chars array<int>"
 RUN_SCHEMA = "__id long, __h long, start int, size int, hash long"
 CUT_SCHEMA = "__id long, __h long, mask binary, n_deleted int, partners array<long>"
 CHUNK_BYTES = 4 << 20
-HOT_SHARE = 10_000       # a run with more than this part of all runs is joined apart
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -184,17 +183,6 @@ def _first_holders(each: DataFrame) -> DataFrame:
     ).filter("low != high").select("hash", "first", "n")
 
 
-def _joined(each: DataFrame, first: DataFrame) -> DataFrame:
-    """Runs with their first holders, without a hot key: those of very many documents are few, so they are broadcast."""
-    if estimated_bytes(first) <= BROADCAST_LIMIT_BYTES:
-        return each.join(F.broadcast(first), "hash")
-    # at most HOT_SHARE hashes hold that part of all runs each
-    least = (first.agg(F.sum("n")).head()[0] or 0) // HOT_SHARE + 1
-    hot, cold = first.filter(F.col("n") >= least), first.filter(F.col("n") < least)
-    rest = each.join(F.broadcast(hot.select("hash")), "hash", "left_anti")
-    return each.join(F.broadcast(hot), "hash").unionByName(rest.join(cold, "hash"))
-
-
 def repeated_lines(docs: DataFrame, min_chars: int = 60, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``__id, __h, mask, n_deleted, partners`` of each document that repeats earlier ones; a byte 1 of the mask is a line to go.
 
@@ -204,7 +192,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 60, doc_id: str = "doc_id",
     lined = cut_lineage(lined_texts(docs, doc_id, text))
     each = cut_lineage(_runs(lined, min_chars))
     first = cut_lineage(_first_holders(each))
-    met = _joined(each, first).filter((F.col("__id") != F.col("first.__id")) | (F.col("__h") != F.col("first.__h")))
+    met = join_counted(each, first, "hash").filter((F.col("__id") != F.col("first.__id")) | (F.col("__h") != F.col("first.__h")))
     # a document's own runs, however many others have them
     shared = cut_lineage(met.groupBy("__id", "__h").agg(F.collect_set(F.struct("start", "size", "n", "first")).alias("runs")))
     with_lines = shared.join(lined.distinct(), ["__id", "__h"])

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treatflow.llm.common import text_chunks
+from treatflow.llm.common import join_counted, text_chunks
 from treatflow.operators.components import components
 from treatflow.session import broadcast_if_small, cut_lineage
 
@@ -246,13 +246,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, doc_id
     their group; other columns are not looked at.
     """
     each = cut_lineage(fingerprints(docs, shingle, doc_id, text))
-    prints = each.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    prints = cut_lineage(each.groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     groups = components(candidate_links(prints, distance)).select(F.col("u").alias("fingerprint"), "grp")
     first = groups.join(prints, "fingerprint").groupBy("grp").agg(F.min("first").alias("lowest"))
     linked = groups.join(first, "grp").select("fingerprint", "lowest")
-    named = prints.join(linked, "fingerprint", "left").select(
-        F.col("fingerprint").alias("__f"), F.coalesce("lowest", "first").alias("component"))
-    return each.join(named, F.col("fingerprint") == F.col("__f")).select("doc_id", "key", "fingerprint", "component")
+    named = cut_lineage(prints.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("lowest", "first").alias("component"), "n"))
+    return join_counted(each, named, "fingerprint").select("doc_id", "key", "fingerprint", "component")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

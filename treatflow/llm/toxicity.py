@@ -139,7 +139,6 @@ def train(sample: list[tuple[str, int]], vocabulary: int = 2000, least: int = 3,
     w, bias, leak = np.zeros(len(chosen)), -2.0, -3.0
     params = np.concatenate([w, [bias, leak]])
     first, second = np.zeros_like(params), np.zeros_like(params)
-    # both labels weigh alike in the gradient of the words, the shares set the leak
     for step in range(1, rounds + 1):
         w, bias, leak = params[:-2], params[-2], params[-1]
         z = bias + np.bincount(entry_s, w[entry_w], len(owner))
