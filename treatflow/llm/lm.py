@@ -18,6 +18,7 @@ pairs occur in other blocks, too: the others are counted where they are.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treatflow.llm.common import remainder, text_blocks
-from treatflow.session import cut_lineage
+from treatflow.session import cut_lineage, shared_folder
 
 BLOCK_BYTES = 6 << 20
-BUCKET_TOKENS = 4_000_000
+BUCKET_TOKENS = 2_000_000
 END, START = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 CLASSES = 48
 BLOCK_SCHEMA = "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, vocabulary binary, words binary"
@@ -45,17 +46,21 @@ SCORE_SCHEMA = ("doc_id long, held_out boolean, n_tokens long, n_known long, tra
 
 
 def packed(values: np.ndarray, kind: str) -> bytes:
-    return zstandard.compress(values.astype(kind).tobytes(), 1)
+    """Numbers byte plane by byte plane, of which the upper ones are almost empty, compressed."""
+    data = np.ascontiguousarray(values.astype(kind))
+    return zstandard.compress(data.view(np.uint8).reshape(-1, data.itemsize).T.tobytes(), 1)
 
 
 def unpacked(blob: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(blob), dtype=kind)
+    planes = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def tokenized(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hashes of distinct words, word numbers of all texts, words per text); the last number is the end's.
 
-    Words are what ASCII white space leaves, with A-Z lower-cased; every text has one end.
+    Words are what ASCII white space leaves, with A-Z lower-cased; every text has one end.  Frequent words have
+    small numbers, which pack well.
     """
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
     sizes = np.asarray(split.value_lengths(), dtype=np.int64)
@@ -69,18 +74,19 @@ def tokenized(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if "" in words:
         full = numbers != words.index("")
         numbers, owner = numbers[full], owner[full]
-    return hashes, numbers, np.bincount(owner, minlength=len(sizes))
+    order = np.append(np.argsort(-np.bincount(numbers, minlength=len(hashes))[:-1], kind="stable"), len(words))
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    return hashes[order], rank[numbers], np.bincount(owner, minlength=len(sizes))
 
 
 def packed_hashes(sorted_hashes: np.ndarray) -> bytes:
-    """Sorted hashes as differences, byte plane by byte plane: the upper planes are almost empty."""
-    steps = np.diff(sorted_hashes, prepend=np.uint64(0)).astype("<u8")
-    return zstandard.compress(steps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+    """Sorted hashes as differences."""
+    return packed(np.diff(sorted_hashes, prepend=np.uint64(0)), "<u8")
 
 
 def unpacked_hashes(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(blob), dtype=np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(unpacked(blob, "<u8"), dtype=np.uint64)
 
 
 def mixed(state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -117,7 +123,7 @@ class Ask:
         """(counts over all blocks, whether this block is the first with it); what was not asked for is the block's own."""
         sums, first = self.own.copy(), self.own > 0
         for bucket, blob in answers.items():
-            found = unpacked(blob, "<u8").astype(np.int64)
+            found = unpacked(blob, "<u8").view(np.int64)
             sums[self.part(bucket)] = found >> 1
             first[self.part(bucket)] = (found & 1).astype(bool)
         return sums, first
@@ -138,7 +144,9 @@ class BlockText:
         before = np.empty_like(self.numbers)
         before[1:] = self.numbers[:-1]
         before[self.first] = self.width - 1
-        self.pairs, self.pair = np.unique(before * self.width + self.numbers, return_inverse=True)
+        self.pairs, pair = np.unique(before * self.width + self.numbers, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        del before, pair
         states = np.append(self.vocabulary, np.uint64(START))
         self.pair_hashes = mixed(states[self.pairs // self.width], states[self.pairs % self.width])
         count = lambda inverse, trained, n: np.bincount(inverse[trained], minlength=n)
@@ -152,7 +160,7 @@ class BlockText:
         inner[self.first] = False
         at = np.flatnonzero(inner)
         self.triples, where, triple = np.unique(
-            self.pair[at - 1] * self.width + self.numbers[at], return_index=True, return_inverse=True)
+            self.pair[at - 1].astype(np.int64) * self.width + self.numbers[at], return_index=True, return_inverse=True)
         self.last_pair = self.pair[at[where]]
         history = self.triples // self.width
         own = np.bincount(triple[self.trained[at]], minlength=len(self.triples))
@@ -243,6 +251,15 @@ def summed(table: pa.Table, kinds: int) -> tuple[list[list[bytes]], list[np.ndar
     return answers, sums_by_kind, first_by_kind
 
 
+def written_in_buckets(df: DataFrame, key: str) -> DataFrame:
+    """A table in the shared folder, bucketed by ``key``: joins and groups on it do not move its rows."""
+    spark = df.sparkSession
+    name = f"buckets_{uuid.uuid4().hex}"
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(count, key).option("path", f"{shared_folder(spark).rstrip('/')}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of every row by a model of the rows outside the held-out fold; see ``SCORE_SCHEMA``.
 
@@ -262,9 +279,10 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc_id: str
                 ["block", "doc_ids", "held", "sizes", "vocabulary", "words"])
             number += 1
 
-    blocks = cut_lineage(docs.select(
+    # blocks meet their answers twice, so they are written in buckets and stay where they are
+    blocks = written_in_buckets(docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), (remainder(doc_id, folds) == held_fold).alias("held"),
-        F.col(text).alias("text")).mapInArrow(to_blocks, BLOCK_SCHEMA))
+        F.col(text).alias("text")).mapInArrow(to_blocks, BLOCK_SCHEMA), "block")
     known = blocks.select(F.explode(F.arrays_zip("held", "sizes")).alias("d")).agg(
         F.sum("d.sizes").alias("tokens"), F.sum((~F.col("d.held")).cast("long")).alias("trained")).first()
     buckets = int((known["tokens"] or 0) // BUCKET_TOKENS) + 1
