@@ -4,7 +4,8 @@ States are the histories of two words and of one word that training has seen (th
 and the root.  A state has an arc for every word that followed it in training, which carries the log of the smoothed
 probability and leads to the longest history that is a state, and a failure arc to the history without its first word, which
 carries the weight that smoothing leaves for it; the root has an arc for every word.  Texts are read once from left to
-right, all of a block in step: each carries its state, takes its word's arc, or failure arcs until one is there.
+right: each word is met in the state that the words before it led to and takes its arc there, or failure arcs until one is
+there.
 
 P(w | h) = (1 - b(h)) * c(h w) / c(h) + b(h) * P(w | h'), and P(w) = (c(w) + 1) / (N + V + 1).  The weight b(h) is
 estimated from counts of counts: among the histories that are about as frequent as h (by powers of two), the share of
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from treatflow.llm.common import remainder, text_blocks
 from treatflow.session import cut_lineage, shared_folder
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 5 << 20
 BUCKET_TOKENS = 2_000_000
 END, START = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 CLASSES = 48
@@ -110,10 +111,11 @@ class Ask:
     """Hashes to ask for, in the order in which buckets get them."""
 
     def __init__(self, hashes: np.ndarray, own: np.ndarray, chosen: np.ndarray, buckets: int):
-        self.own, self.chosen, self.hashes = own, chosen, hashes
+        # a block's counts and places fit 32 bits
+        self.own, self.chosen, self.hashes = own.astype(np.int32), chosen.astype(np.int32), hashes
         bucket = (hashes[chosen] >> np.uint64(33)).astype(np.int64) % buckets
         order = np.lexsort((hashes[chosen], bucket))
-        self.order = chosen[order]
+        self.order = self.chosen[order]
         self.edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
 
     def part(self, bucket: int) -> np.ndarray:
@@ -121,7 +123,7 @@ class Ask:
 
     def totals(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(counts over all blocks, whether this block is the first with it); what was not asked for is the block's own."""
-        sums, first = self.own.copy(), self.own > 0
+        sums, first = self.own.astype(np.int64), self.own > 0
         for bucket, blob in answers.items():
             found = unpacked(blob, "<u8").view(np.int64)
             sums[self.part(bucket)] = found >> 1
@@ -197,37 +199,31 @@ class Automaton:
         share = counts / np.maximum(history, 1)
         return np.where(counts > 0, np.log10((1 - weight) * share + weight * 10.0 ** np.where(counts > 0, lower, 0.0)), np.nan)
 
-    def read(self, numbers: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Log10 probability of every text: one pass from left to right, each text with its state."""
-        order = np.argsort(-sizes, kind="stable")
-        first, left = first[order], sizes[order]
-        score = np.zeros(len(sizes))
-        word_state = np.full(len(sizes), self.width - 1)
-        pair_state = np.full(len(sizes), -1)
-        active = len(sizes)
-        for step in range(int(left[0]) if len(left) else 0):
-            active = int(np.searchsorted(-left[:active], -step, "left"))
-            word = numbers[first[:active] + step]
-            pair, longer = word_state[:active], pair_state[:active]
-            gained = np.full(active, np.nan)
-            deep = np.flatnonzero(longer >= 0)
-            if len(deep):
-                key = longer[deep] * self.width + word[deep]
-                at = np.minimum(np.searchsorted(self.triples, key), len(self.triples) - 1)
-                gained[deep] = np.where(self.triples[at] == key, self.triple_arcs[at], np.nan)
-            failed = np.isnan(gained)
-            # the failure arc of two words of history, and the arc of the last one
-            at = np.searchsorted(self.pairs, pair * self.width + word)
-            cost = np.where(longer >= 0, self.pair_fail[longer], 0.0)
-            shorter = self.pair_arcs[at]
-            # the failure arc of one word of history, and the root's arc, which is always there
-            shorter = np.where(np.isnan(shorter), self.fail[pair] + self.root[word], shorter)
-            score[:active] += np.where(failed, cost + shorter, gained)
-            pair_state[:active] = np.where(self.is_state[at], at, -1)
-            word_state[:active] = word
-        out = np.empty_like(score)
-        out[order] = score
-        return out
+    def read(self, numbers: np.ndarray, pair: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Log10 probability of every text, in one pass over the block's words from left to right.
+
+        ``pair`` has the number of (word before, word) at every place, which is the state that the word leads to if training
+        has seen it; states are handed on from place to place, and a text begins in the state of its start.
+        """
+        state = np.empty(len(numbers), dtype=np.int64)
+        state[1:] = np.where(self.is_state[pair[:-1]], pair[:-1], -1)
+        state[first] = -1
+        score = np.full(len(numbers), np.nan)
+        deep = np.flatnonzero(state >= 0)
+        if len(deep):
+            key = state[deep] * self.width + numbers[deep]
+            at = np.minimum(np.searchsorted(self.triples, key), len(self.triples) - 1)
+            score[deep] = np.where(self.triples[at] == key, self.triple_arcs[at], np.nan)
+        # the failure arc of two words of history, then the arc of the last word
+        failed = np.flatnonzero(np.isnan(score))
+        cost = np.where(state[failed] >= 0, self.pair_fail[state[failed]], 0.0)
+        shorter = self.pair_arcs[pair[failed]]
+        # the failure arc of one word of history, then the root's arc, which is always there
+        last = np.flatnonzero(np.isnan(shorter))
+        history = self.pairs[pair[failed[last]]] // self.width
+        shorter[last] = self.fail[history] + self.root[numbers[failed[last]]]
+        score[failed] = cost + shorter
+        return np.add.reduceat(score, first)
 
 
 def summed(table: pa.Table, kinds: int) -> tuple[list[list[bytes]], list[np.ndarray], list[np.ndarray]]:
@@ -372,7 +368,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_fold: int = 2, doc_id: str
             "doc_id": pa.array(row["doc_ids"], pa.int64()), "held_out": pa.array(row["held"], pa.bool_()),
             "n_tokens": pa.array(sizes), "n_known": pa.array(by_text((words[text_block.numbers] > 0).astype(np.int64))),
             "train_tokens": pa.array(np.full(len(sizes), n_tokens)), "base_score": pa.array(by_text(automaton.root[text_block.numbers])),
-            "score": pa.array(automaton.read(text_block.numbers, text_block.first, sizes))})
+            "score": pa.array(automaton.read(text_block.numbers, text_block.pair, text_block.first))})
 
     both = answers.select("block", "bucket", "totals").unionAll(deeper.select("block", "bucket", "totals"))
     return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(score, SCORE_SCHEMA)
