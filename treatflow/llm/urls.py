@@ -8,10 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treatflow.llm.common import UPPER, LOWER, ascii_lower, without
-from treatflow.session import broadcast_if_small
+from treatflow.llm.common import LOWER, UPPER, ascii_lower, join_counted, without
+from treatflow.session import broadcast_if_small, cut_lineage
 
 TOKEN = "[a-z0-9]+"
+SPREAD = 256
 RULE_SCHEMA = "rule string, action string, tier int, pattern string, literals array<string>"
 
 
@@ -49,6 +50,11 @@ def rule_table(spark: SparkSession, rules: Sequence[tuple]) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS rules(rule, action, tier, pattern, literals)")
 
 
+def _mark(number: Column) -> Column:
+    """A token that no URL has."""
+    return F.concat(F.lit("#"), number.cast("string"))
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, lower-cased; empty without ``://``."""
     return ascii_lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?s:.*?)://([^/?#]*)", 1))
@@ -63,24 +69,27 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
 
     Rules of tier 1 give ``rule`` and verdict, the longest first, then ``block`` before ``allow``, then by
     text.  Where none fits, the method's own rules (tier 0) give the verdict, and ``default`` otherwise.
-    A rule is filed under the one of its literal tokens that is rarest in the URLs at hand, or under the
-    empty token if it has none; URLs fetch rules by equal tokens, and only those pairs run a regular
-    expression.  Distinct addresses are judged, so a URL of very many rows counts once.  Null URLs, and
-    those without ``://``, have empty host and path.  Columns of the result's names are replaced, other
+    A rule is filed under the one of its literal tokens that is rarest in the URLs at hand; a rule that has
+    none is filed under each of ``SPREAD`` marks, of which every URL has one by its hash.  URLs fetch rules
+    by equal tokens, and only those pairs run a regular expression.  Distinct addresses are judged, so a URL
+    of very many rows counts once, and a hot one gets its verdict by broadcast.  Null URLs, and those without
+    ``://``, have empty host and path.  Columns of the result's names are replaced, other
     columns and repeated rows stay, and an empty table gives an empty one.
     """
     parsed = without(pages, "host", "path", "rule", "verdict").withColumns(
         {"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     address = F.concat("host", "path")
-    addresses = parsed.select(address.alias("__a")).distinct()
+    addresses = parsed.groupBy(address.alias("__a")).agg(F.count(F.lit(1)).alias("__rows"))
 
     listed = addresses.select("__a", F.explode(F.array_union(
-        F.regexp_extract_all(ascii_lower(F.col("__a")), F.lit(f"({TOKEN})"), 1), F.array(F.lit("")))).alias("__t"))
+        F.regexp_extract_all(ascii_lower(F.col("__a")), F.lit(f"({TOKEN})"), 1), F.array(_mark(F.pmod(F.xxhash64("__a"), F.lit(SPREAD)))))).alias("__t"))
     literals = rules.select(F.explode("literals").alias("__t")).distinct()
     counts = listed.join(broadcast_if_small(literals), "__t").groupBy("__t").agg(F.count(F.lit(1)).alias("__n"))
     filed = rules.select("*", F.explode_outer("literals").alias("__t")).join(counts, "__t", "left").groupBy(
         "rule", "action", "tier", "pattern"
-    ).agg(F.coalesce(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__t"))["__t"], F.lit("")).alias("__t"))
+    ).agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__t"))["__t"].alias("__one")).select(
+        "rule", "action", "tier", "pattern", F.explode(F.when(F.col("__one").isNotNull(), F.array("__one")).otherwise(
+            F.transform(F.sequence(F.lit(0), F.lit(SPREAD - 1)), _mark))).alias("__t"))
     fits = listed.join(broadcast_if_small(filed), "__t").filter(F.expr("rlike(__a, pattern)"))
     rank = F.struct("tier", F.length("rule").alias("size"), (F.col("action") == "block").alias("block"))
     # of equal rules the smallest text: kept by a second key
@@ -88,7 +97,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
         F.struct(rank.alias("rank"), "rule", "action")).alias("__all")).select(
         "__a", F.array_min(F.expr("transform(filter(__all, x -> x.rank = __top), x -> struct(x.rule AS rule, x.action AS action))")).alias("__best"),
         F.col("__top.tier").alias("__tier"))
-    return parsed.withColumn("__a", address).join(best, "__a", "left").withColumns({
-        "rule": F.when(F.col("__tier") == 1, F.col("__best.rule")),
-        "verdict": F.coalesce(F.col("__best.action"), F.lit(default)),
-    }).drop("__a", "__best", "__tier")
+    judged = cut_lineage(addresses.join(best, "__a", "left").select(
+        "__a", "__rows", F.when(F.col("__tier") == 1, F.col("__best.rule")).alias("rule"),
+        F.coalesce(F.col("__best.action"), F.lit(default)).alias("verdict")))
+    return join_counted(parsed.withColumn("__a", address), judged, "__a", "__rows").drop("__a", "__rows")
