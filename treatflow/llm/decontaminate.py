@@ -9,13 +9,14 @@ block on.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from treatflow.llm.common import text_blocks
+from treatflow.llm.common import gather, text_blocks
 from treatflow.session import cut_lineage
 
 INTS = pa.list_(pa.int32())
@@ -24,6 +25,8 @@ TO_WORDS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c > 127 else c + 32 if
 GAP = 64
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 8 << 20
+CANDIDATES = 1 << 20      # places that are looked at in one array pass
+WINDOWS = 1 << 16
 INDEX_SCHEMA = ("doc_ids array<long>, keys array<long>, starts array<int>, n_words array<int>, terms array<int>, sizes array<int>, "
                 "postings binary")
 MATCH_SCHEMA = "doc_id long, key long, item_id string, start int, length int, kind string"
@@ -65,96 +68,152 @@ def build_index(docs: DataFrame, terms: dict[bytes, int], doc_id: str = "doc_id"
     return docs.select(*columns).mapInArrow(run, INDEX_SCHEMA)
 
 
-def windows_of(words: list[bytes], length: int) -> list[tuple[bytes, ...]]:
-    if len(words) <= length:
-        return [tuple(words)] if words else []
-    return [tuple(words[i:i + length]) for i in range(len(words) - length + 1)]
+@dataclass(frozen=True)
+class Windows:
+    """Distinct windows of test terms, one a row of ``table``; short ones are filled with ``fill``, the term after the last.
 
-
-def is_in(sorted_values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(sorted_values, wanted)
-    return sorted_values[np.minimum(at, len(sorted_values) - 1)] == wanted
-
-
-def phrase_starts(lists: list[np.ndarray]) -> np.ndarray:
-    """Positions at which the terms follow one another; the rarest lists are intersected first."""
-    order = sorted(range(len(lists)), key=lambda i: len(lists[i]))
-    starts = lists[order[0]] - order[0]
-    for i in order[1:]:
-        starts = starts[is_in(lists[i], starts + i)]
-        if not len(starts):
-            break
-    return starts
-
-
-def near_starts(lists: list[np.ndarray], need: int, slop: int) -> np.ndarray:
-    """Positions at which ``need`` of the terms stand within ``slop`` words of their places.
-
-    Of ``need`` terms that are there one is among the rarest ``len(lists) - need + 1``, so those give all
-    candidates.
+    The items of window w are ``items[owners[first[w]]]`` and the ``counts[w] - 1`` after it.
     """
-    order = sorted(range(len(lists)), key=lambda i: len(lists[i]))
-    starts = np.unique(np.concatenate([lists[i] - i for i in order[:len(lists) - need + 1]]))
-    hits = np.zeros(len(starts), dtype=np.int64)
-    for i, places in enumerate(lists):
-        if len(places):
-            after = np.minimum(np.searchsorted(places, starts + i - slop), len(places) - 1)
-            hits += (places[after] >= starts + i - slop) & (places[after] <= starts + i + slop)
-    return starts[hits >= need]
-
 
-def matches(index: DataFrame, windows: list[tuple[tuple[int, ...], list]], near: tuple[int, int] | None = None) -> DataFrame:
+    table: np.ndarray
+    lengths: np.ndarray
+    fill: int
+    items: list[str]
+    owners: np.ndarray
+    first: np.ndarray
+    counts: np.ndarray
+
+
+def windows_of(part: list[tuple[str, str | None]], window: int) -> tuple[dict[bytes, int], Windows]:
+    """(terms, windows) of items: every ``window`` consecutive words, or all words of a shorter item."""
+    terms: dict[bytes, int] = {}
+    names: dict[str, int] = {}
+    rows, owners = [np.empty((0, window), dtype=np.int32)], [np.empty(0, dtype=np.int64)]
+    for item, value in part:
+        ids = np.array([terms.setdefault(w, len(terms)) for w in words_of(value)], dtype=np.int32)
+        if len(ids):
+            short = np.concatenate([ids, np.full(max(0, window - len(ids)), -1, dtype=np.int32)])
+            rows.append(np.lib.stride_tricks.sliding_window_view(short, window))
+            owners.append(np.full(len(rows[-1]), names.setdefault(item, len(names))))
+    table, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+    pairs = np.unique(which.reshape(-1) * max(1, len(names)) + np.concatenate(owners))
+    counts = np.bincount(pairs // max(1, len(names)), minlength=len(table))
+    lengths = (table >= 0).sum(axis=1)
+    return terms, Windows(np.where(table < 0, len(terms), table), lengths, len(terms), list(names), pairs % max(1, len(names)),
+                          np.cumsum(counts) - counts, counts)
+
+
+class Block:
+    """The postings of one row of the index, ready for look-ups of many windows at once."""
+
+    def __init__(self, row: dict, fill: int, margin: int):
+        self.postings = np.frombuffer(row["postings"], dtype="<i4").astype(np.int64)
+        self.sizes = np.zeros(fill + 1, dtype=np.int64)
+        self.sizes[row["terms"]] = row["sizes"]
+        self.first = np.zeros(fill + 1, dtype=np.int64)
+        self.first[row["terms"]] = np.cumsum(row["sizes"]) - row["sizes"]
+        self.doc_starts = np.array(row["starts"], dtype=np.int64)
+        # a list is intersected by looking which term's list holds a position
+        self.margin = margin
+        self.term_at = np.full(self.doc_starts[-1] + row["n_words"][-1] + 2 * margin + 1, -1, dtype=np.int32)
+        self.term_at[self.postings + margin] = np.repeat(row["terms"], row["sizes"])
+
+    def look_up(self, windows: Windows, missing: int, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(window, start, a position in its document) of the places where all but ``missing`` terms stand within ``slop`` words.
+
+        Of the terms that are there, one is among the rarest ``missing + 1``, so those lists give all candidates;
+        the other lists are intersected with them from the rarest on, and a candidate goes once too many terms lack.
+        """
+        exact = not missing and not slop
+        for low in range(0, len(windows.table), WINDOWS):
+            table, lengths = windows.table[low:low + WINDOWS], windows.lengths[low:low + WINDOWS]
+            there = (self.sizes[table] > 0).sum(axis=1)
+            chosen = np.flatnonzero((there >= lengths - missing) & (lengths > (0 if exact else missing + 1)))
+            # fillers come last
+            size = np.where(table[chosen] == windows.fill, np.int64(2**62), self.sizes[table[chosen]])
+            rarest = np.argsort(size, axis=1, kind="stable")
+            candidates = np.take_along_axis(size, rarest[:, :missing + 1], axis=1).sum(axis=1)
+            groups = np.cumsum(candidates) // CANDIDATES
+            edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(chosen)]
+            for a, b in zip(edges, edges[1:]):
+                if b > a:
+                    yield self._intersect(windows, chosen[a:b] + low, rarest[a:b], missing, slop)
+
+    def _intersect(self, windows, chosen, rarest, missing, slop):
+        table, lengths = windows.table[chosen], windows.lengths[chosen]
+        rows, starts, anchors = [], [], []
+        for k in range(missing + 1):
+            terms = table[np.arange(len(chosen)), rarest[:, k]]
+            places = gather(self.postings, self.first[terms], self.sizes[terms])
+            rows.append(np.repeat(np.arange(len(chosen)), self.sizes[terms]))
+            starts.append(places - np.repeat(rarest[:, k], self.sizes[terms]))
+            anchors.append(places)
+        rows, starts, anchors = map(np.concatenate, (rows, starts, anchors))
+        if not missing and not slop:
+            rows, starts, anchors = self._kept(windows, table, rarest, rows, starts, anchors, 0, 0)
+            return chosen[rows], starts, anchors
+        # places that hold with double slack, then each start near them
+        rows, starts, anchors = self._kept(windows, table, rarest, rows, starts, anchors, missing, 2 * slop)
+        shifts = np.arange(-slop, slop + 1)
+        rows, anchors = np.repeat(rows, len(shifts)), np.repeat(anchors, len(shifts))
+        starts = (starts[:, None] + shifts).reshape(-1)
+        _, one = np.unique(rows * len(self.term_at) + starts + self.margin, return_index=True)
+        rows, starts, anchors = self._kept(windows, table, rarest, rows[one], starts[one], anchors[one], missing, slop)
+        # of starts that follow one another the first
+        new = np.ones(len(rows), dtype=bool)
+        new[1:] = (rows[1:] != rows[:-1]) | (starts[1:] != starts[:-1] + 1)
+        return chosen[rows[new]], starts[new], anchors[new]
+
+    def _kept(self, windows, table, rarest, rows, starts, anchors, missing, slop):
+        lacking = np.zeros(len(rows), dtype=np.int64)
+        for k in range(table.shape[1]):
+            place = rarest[rows, k]
+            term = table[rows, place]
+            at = starts + place + self.margin
+            hit = term == windows.fill
+            for d in range(-slop, slop + 1):
+                hit |= self.term_at[at + d] == term
+            lacking += ~hit
+            kept = lacking <= missing
+            rows, starts, anchors, lacking = rows[kept], starts[kept], anchors[kept], lacking[kept]
+            if not len(rows):
+                break
+        return rows, starts, anchors
+
+
+def matches(index: DataFrame, windows: Windows, near: tuple[int, int] | None = None) -> DataFrame:
     """Occurrences of windows: one row per document, item, place and kind (``phrase`` or ``near``).
 
-    ``near`` is (terms that may be missing or misplaced, words of slack); ``None`` leaves such matches out.
+    ``near`` is (terms that may be missing or misplaced, words of slack); ``None`` leaves such matches out.  Windows of
+    more terms than may be missing and one take part.  Of starts that follow one another the first is given; a match that
+    lacks its first words may start before its document, at a negative place.
     """
-    spark = index.sparkSession
-    shared = spark.sparkContext.broadcast(windows)
+    shared = index.sparkSession.sparkContext.broadcast(windows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.value
-        width = max((len(t) for t, _ in wanted), default=1)
-        top = max((max(t) for t, _ in wanted), default=0) + 1
-        # one more column of a term that is always there fills short windows
-        table = np.full((len(wanted), width), top)
-        for i, (terms, _) in enumerate(wanted):
-            table[i, :len(terms)] = terms
-        lengths = np.array([len(t) for t, _ in wanted])
+        names = pa.array(wanted.items, pa.string())
+        missing, slop = near or (0, 0)
         for batch in batches:
-            for block in batch.to_pylist():
-                yield from look_up(block, wanted, table, lengths, top)
-
-    def look_up(block, wanted, table, lengths, top):
-        sizes = np.zeros(top + 1, dtype=np.int64)
-        sizes[block["terms"]] = block["sizes"]
-        sizes[top] = 1
-        postings = np.frombuffer(block["postings"], dtype="<i4")
-        ends = np.cumsum(block["sizes"])
-        lists = {t: postings[e - n:e] for t, e, n in zip(block["terms"], ends, block["sizes"])}
-        none = postings[:0]
-        doc_starts, doc_sizes = np.array(block["starts"]), np.array(block["n_words"])
-        rows: list[tuple] = []
-        present = (sizes[table] > 0).sum(axis=1) - (table.shape[1] - lengths)
-        for kind in ("phrase", "near") if near else ("phrase",):
-            missing = 0 if kind == "phrase" else near[0]
-            for w in np.flatnonzero(present >= np.maximum(lengths - missing, 1)).tolist():
-                terms, items = wanted[w]
-                found = [lists.get(t, none) for t in terms]
-                if kind == "phrase":
-                    starts = phrase_starts(found)
-                elif len(terms) > missing + 1:
-                    starts = near_starts(found, len(terms) - missing, near[1])
-                else:
-                    continue
-                if len(starts):
-                    owner = np.maximum(np.searchsorted(doc_starts, starts, side="right") - 1, 0)
-                    for s, d in zip(starts.tolist(), owner.tolist()):
-                        rows += [(d, item, s - int(doc_starts[d]), len(terms), kind) for item in items]
-        for i in range(0, len(rows), 100_000):
-            part = rows[i:i + 100_000]
+            for row in batch.to_pylist():
+                block = Block(row, wanted.fill, wanted.table.shape[1] + 3 * slop)
+                doc_ids, keys = pa.array(row["doc_ids"], pa.int64()), pa.array(row["keys"], pa.int64())
+                for kind, *how in [("phrase", 0, 0), ("near", missing, slop)][:2 if near else 1]:
+                    for found in block.look_up(wanted, *how):
+                        yield from listed(block, doc_ids, keys, wanted, names, kind, *found)
+
+    def listed(block, doc_ids, keys, wanted, names, kind, which, starts, anchors):
+        groups = np.cumsum(wanted.counts[which]) // 100_000
+        edges = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(which)]
+        for a, b in zip(edges, edges[1:]):
+            w = which[a:b]
+            times = wanted.counts[w]
+            owner = np.searchsorted(block.doc_starts, anchors[a:b], side="right") - 1
+            docs = pa.array(np.repeat(owner, times))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block["doc_ids"][r[0]] for r in part], pa.int64()), pa.array([block["keys"][r[0]] for r in part], pa.int64()),
-                 *[pa.array([r[k] for r in part], t) for k, t in ((1, pa.string()), (2, pa.int32()), (3, pa.int32()), (4, pa.string()))]],
+                [doc_ids.take(docs), keys.take(docs), names.take(pa.array(gather(wanted.owners, wanted.first[w], times))),
+                 pa.array(np.repeat(starts[a:b] - block.doc_starts[owner], times), pa.int32()),
+                 pa.array(np.repeat(wanted.lengths[w], times), pa.int32()), pa.array([kind] * int(times.sum()), pa.string())],
                 ["doc_id", "row_key", "item_id", "start", "length", "kind"])
 
     return index.mapInArrow(run, MATCH_SCHEMA)
@@ -179,17 +238,13 @@ def find_passages(docs: DataFrame, items: DataFrame, window: int = 10, near: tup
     words and no windows; a null item id is the empty text; repeated rows share id and key (a hash of the text) and so
     their matches; equal windows of several items match for each.  Other columns are not looked at.
     """
-    if window >= GAP:
-        raise ValueError(f"a window must be shorter than {GAP} words")
+    if window + 2 * (near[1] if near else 0) >= GAP:
+        raise ValueError(f"a window and its slack on both sides must be shorter than {GAP} words")
     found = rows = None
     for part in slices(items, item_id, item_text, slice_bytes):
-        terms: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], dict] = {}
-        for item, value in part:
-            for w in windows_of(words_of(value), window):
-                owners.setdefault(tuple(terms.setdefault(t, len(terms)) for t in w), {})[item] = None
+        terms, windows = windows_of(part, window)
         index = cut_lineage(build_index(docs, terms, doc_id, text))
-        one = matches(index, [(t, list(o)) for t, o in owners.items()], near)
+        one = matches(index, windows, near)
         if rows is None:
             each = index.select(F.explode(F.arrays_zip("doc_ids", "keys", "n_words")).alias("d"))
             rows = each.select(F.col("d.doc_ids").alias("doc_id"), F.col("d.keys").alias("key"),
