@@ -77,13 +77,13 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[places]
 
 
-def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str = "n") -> DataFrame:
+def join_counted(rows: DataFrame, table: DataFrame, key: str, n: str = "n", limit: int | None = None) -> DataFrame:
     """``rows`` with the row of a written ``table`` that has their key; ``table`` has each key once, with its rows in ``n``.
 
-    No key is hot: a small table is broadcast; of a large one, keys with a fixed part of all rows are few, so these are
-    broadcast and the others are joined by shuffle.
+    No key is hot: a table of at most ``limit`` bytes is broadcast; of a larger one, keys with a fixed part of all rows are
+    few, so these are broadcast and the others are joined by shuffle.
     """
-    if estimated_bytes(table) <= BROADCAST_LIMIT_BYTES:
+    if estimated_bytes(table) <= (BROADCAST_LIMIT_BYTES if limit is None else limit):
         return rows.join(F.broadcast(table), key)
     # at most HOT_SHARE keys hold that part of all rows each
     least = (table.agg(F.sum(n)).head()[0] or 0) // HOT_SHARE + 1

@@ -100,4 +100,5 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     judged = cut_lineage(addresses.join(best, "__a", "left").select(
         "__a", "__rows", F.when(F.col("__tier") == 1, F.col("__best.rule")).alias("rule"),
         F.coalesce(F.col("__best.action"), F.lit(default)).alias("verdict")))
-    return join_counted(parsed.withColumn("__a", address), judged, "__a", "__rows").drop("__a", "__rows")
+    # most addresses have one row, so only the hot ones are worth a broadcast
+    return join_counted(parsed.withColumn("__a", address), judged, "__a", "__rows", limit=0).drop("__a", "__rows")
