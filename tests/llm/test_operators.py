@@ -167,6 +167,36 @@ def test_urls(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_large_rule_tables_equal_brute_force(spark, monkeypatch, broadcast):
+    rng = np.random.default_rng(3)
+    pick = lambda n: "n" + str(rng.integers(n))
+    hosts = sorted({f"{pick(40)}.{pick(25)}.{('com', 'net', 'org')[rng.integers(3)]}/{pick(4) + '/' if rng.integers(2) else ''}" for _ in range(1500)})
+    actions = {h: ("allow", "block")[int(rng.integers(2))] for h in [*hosts, "com/", "n7.net/"]}
+    pages = [(i, f"http://{'www.' if rng.integers(2) else ''}{pick(45)}.{pick(25)}.{('com', 'net')[rng.integers(2)]}/{pick(5)}/x") for i in range(1500)]
+    # a third of all rows without a usable URL, a third of one URL
+    pages += [(5000 + i, ("", None, "nothing")[i % 3]) for i in range(2000)] + [(9000 + i, "http://a.n7.net/n1/") for i in range(2000)]
+    rules = spark.createDataFrame([*(urls.host_rule(h, a) for h, a in actions.items()), ("digits", "block", 0, "[.]n1[0-9][.]", []),
+                                   ("none", "block", 0, "^$", [])], urls.RULE_SCHEMA)
+    if not broadcast:
+        monkeypatch.setattr(urls, "broadcast_if_small", lambda df: df)
+        monkeypatch.setattr(common, "BROADCAST_LIMIT_BYTES", 0)
+        monkeypatch.setattr(common, "HOT_SHARE", 10)
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), rules).collect()}
+
+    def plain(url):
+        host, _, path = (url or "").partition("://")[2].partition("/")
+        path = "/" + path
+        fits = [r for r in actions if (host == r.partition("/")[0] or host.endswith("." + r.partition("/")[0])) and path.startswith("/" + r.partition("/")[2])]
+        if host and fits:
+            best = max(fits, key=lambda r: (len(r), actions[r] == "block", [-ord(c) for c in r]))
+            return best, actions[best]
+        return None, "block" if not host or re.search("[.]n1[0-9][.]", host + path) else "allow"
+
+    assert got == {i: plain(url) for i, url in pages}
+    assert len({r for r, _ in got.values()}) > 100
+
+
 # toxicity
 
 def plain_toxicity(model, text):
@@ -428,6 +458,44 @@ def test_decontamination_equals_brute_force(spark, docs, slice_bytes):
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got} == want and any(r.n_hit for r in got)
 
 
+def near_items(words, items, missing, slop):
+    """Ids of items a window of which has all but ``missing`` of its words within ``slop`` words of their places."""
+    found = set()
+    for item, text in items:
+        w = words_of(text)
+        for i in range(max(1, len(w) - 9) if w else 0):
+            window = w[i:i + 10]
+            for start in range(-len(window), len(words)):
+                lack = sum(t not in words[max(0, start + k - slop):max(0, start + k + slop + 1)] for k, t in enumerate(window))
+                if len(window) > missing + 1 and lack <= missing:
+                    found.add(item)
+    return found
+
+
+def test_near_matches_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "CANDIDATES", 40)
+    monkeypatch.setattr(decontaminate, "WINDOWS", 7)
+    rng = np.random.default_rng(5)
+    word = lambda: "w" + str(rng.integers(60))
+    items = [("i" + str(k), " ".join(word() for _ in range(n))) for k, n in enumerate((12, 10, 14, 6, 4, 3, 1))]
+    rows = []
+    for k in range(120):
+        w = items[k % len(items)][1].split()
+        # words lost (often the first, at the very start of the text), changed or moved
+        w = w[int(rng.integers(3)):]
+        for _ in range(int(rng.integers(3))):
+            if w:
+                w[int(rng.integers(len(w)))] = word()
+        if len(w) > 3:
+            w.insert(int(rng.integers(len(w))), w.pop(int(rng.integers(len(w)))))
+        rows.append((k, " ".join([word() for _ in range(int(rng.integers(3)))] + w + [word() for _ in range(int(rng.integers(4)))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: set(r["near_items"]) for r in decontaminate.contamination(
+        docs, spark.createDataFrame(items, "item_id string, text string"), near=(2, 3)).collect()}
+    want = {k: near_items(words_of(text), items, 2, 3) for k, text in rows}
+    assert got == want and 30 < sum(map(bool, want.values())) < 120
+
+
 def test_decontamination_edge_cases(spark, odd, none):
     items = spark.createDataFrame([(10, "B c! d"), (9, "b C d"), (3, None), (4, "..."), (5, "a b c d e f g h i j zz"), (6, "null ID")],
                                   "item_id long, text string")
@@ -535,6 +603,46 @@ def test_licences(spark, odd, none):
     assert licences.scan_licences(odd, model).count() == len(ROWS) and licences.scan_licences(none, model).count() == 0
 
 
+def test_licences_through_line_ends_and_of_other_notices(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = licences.fit(docs)
+    notices = [
+        ("mit", "Permission is hereby granted, free of charge, to any\nperson obtaining a copy of this software and\nassociated documentation "
+                "files (the Software), to deal\nin the Software without restriction"),
+        ("mit", "Permission is\nhereby granted, free\nof charge, to any\nperson obtaining\na copy of this\nsoftware and associated files"),
+        ("gpl", "This file may be used under the GNU General Public License version 2 only"),
+        ("gpl", "it under the terms of version 3 of the\nGNU General Public License as published\nby the Free Software Foundation, either"),
+        ("isc", "Permission to use, copy, modify, and distribute this\nsoftware for any purpose with or without fee is\nhereby granted, provided"),
+        ("epl", "This program is made available under the\nterms of the Eclipse Public License 2.0 which is at"),
+        ("apache", "licensed to you under the Apache License, Version\n2.0 (the License); you may not use this file"),
+        ("lgpl", "// SPDX-License-Identifier: LGPL-3.0-or-later"),
+        ("bsd", "Redistribution and use in source and binary forms,\nwith or without changes, are permitted if the following conditions are met:"),
+    ]
+    around = "Some words of the story come first\nand go on in a second line.\n"
+    for family, notice in notices:
+        text = around + "\n" + notice + "\n\n" + around
+        hits = [h for h in model.find(text) if h[5]]
+        assert hits and {h[2] for h in hits} == {family}, (family, notice, model.find(text))
+        assert all(notice.find(text[h[0]:h[0] + h[1]]) >= 0 for h in hits)
+    # a blank line ends a notice; two notices in lines that follow one another are two
+    assert not [h for h in model.find("Permission is hereby\n\ngranted free of\n \ncharge to any") if h[5]]
+    both = model.find("Released under the MIT License.\nLicensed under the Apache License, Version 2.0.")
+    assert [h[2] for h in both if h[5]] == ["mit", "apache"]
+    for plain in ("The right of the public to use the land and the forms of the house are permitted by law.", "a" * 100_000, " " * 100_000, around):
+        assert not model.find(plain)
+
+
+def test_background_of_licences_is_distinct(spark, monkeypatch):
+    rows = [(i, "a line that a third of all documents hold") for i in range(50)] + [(100 + i, f"another line with number {i}") for i in range(30)]
+    seen = []
+    monkeypatch.setattr(licences, "train", lambda background: seen.append(background))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    licences.fit(df)
+    licences.fit(df, max_paragraphs=5)
+    licences.fit(df.limit(0))
+    assert len(seen[0]) == len(set(seen[0])) == 31 and seen[1] == seen[0][:5] and seen[2] == []
+
+
 def test_licences_of_held_out_variants():
     model = licences.train(["river stone valley under the open sky of the old house"] * 50)
     rng = np.random.default_rng(99)
