@@ -6,6 +6,7 @@ crossings); in a slab no edges cross, so running over them from bottom to top sh
 the plane.  The covered trapezoids' bottom and top edges are again a set of edges, so chunk unions are united
 in turn until one is left per group; a group whose last chunk is left waits for the others no longer.  Groups
 whose edges run along x are swept along y instead.  The last unions' boundary edges are stitched to rings.
+Groups of few edges, most of them in practice, are swept and stitched many at a time (``unions``).
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from pyspark.sql import functions as F
 
 from treatflow.functions.geometry import area, edges, perimeter
 from treatflow.operators.rings import stitch
-from treatflow.session import cut_lineage
+from treatflow.operators.unions import PLACES, united
+from treatflow.session import broadcast_if_small, cut_lineage
 
 CHUNK_EDGES = 256
 BIN_EDGES = 64
 FAN_IN = 4
-PLACES = 6       # heights that agree to a micrometre are the same line
+FEW_EDGES = 64   # groups with no more vertices than this are united many at a time
+FEW_GROUPS = 64  # beside larger ones, as many such groups are united with these
 
 
 def _y(e: str, x: str) -> str:
@@ -184,15 +187,9 @@ def _turned_edges(geom: str) -> Column:
     return F.transform(edges(swapped), lambda e: e.withField("s", -e["s"]))
 
 
-def dissolve_shapes(df: DataFrame, group: str, geom: str = "geom") -> DataFrame:
-    """(group, geom, area, perimeter) of the union of each group's polygons.
-
-    Exact copies count once, and groups with one distinct shape keep it as it is.  The other unions are valid
-    polygons: shells counter-clockwise with their holes, no two parts share more than a vertex, no vertex lies on
-    the line between its neighbours.
-    """
-    distinct = df.filter(F.col(geom).isNotNull()).select(F.col(group).alias("grp"), F.col(geom).alias("geom")).distinct()
-    sized = distinct.withColumns({"e": edges("geom"), "f": _turned_edges("geom")})
+def _chunked(rows: DataFrame) -> DataFrame:
+    """(``grp``, ``geom``): unions of groups of any size, chunk by chunk."""
+    sized = rows.distinct().withColumns({"e": edges("geom"), "f": _turned_edges("geom")})
     length = lambda e: F.sum(F.expr(f"aggregate({e}, 0D, (n, a) -> n + a.x2 - a.x1)"))
     extent = lambda e: F.max(F.expr(f"array_max({e}.x2)")) - F.min(F.expr(f"array_min({e}.x1)"))
     totals = sized.groupBy("grp").agg(
@@ -208,19 +205,41 @@ def dissolve_shapes(df: DataFrame, group: str, geom: str = "geom") -> DataFrame:
     single = known.filter(F.col("n") == 1).select("grp", "geom")
     several = known.filter(F.col("n") > 1)
     most = several.agg(F.max("chunks")).head()[0]
-    shapes = single
-    if most is not None:
-        pieces = several.select(
-            "grp", "turned", F.pmod(F.xxhash64("geom"), F.col("chunks")).alias("chunk"), "chunks", F.inline("e"))
-        ready = pieces.filter("chunks = 1")
-        while most > 1:
-            # unions of chunks, several of which then make one chunk of the next level
-            fewer = F.ceil(F.col("chunks") / FAN_IN)
-            most = -(-most // FAN_IN)
-            pieces = cut_lineage(
-                _boundary(_sweep(pieces.filter("chunks > 1"))).withColumns({"chunk": F.pmod(F.col("chunk"), fewer), "chunks": fewer})
-            )
-            ready = ready.unionByName(pieces.filter("chunks = 1"))
-        shapes = single.unionByName(stitch(_outline(cut_lineage(_sweep(ready)))))
+    if most is None:
+        return single
+    pieces = several.select(
+        "grp", "turned", F.pmod(F.xxhash64("geom"), F.col("chunks")).alias("chunk"), "chunks", F.inline("e"))
+    ready = pieces.filter("chunks = 1")
+    while most > 1:
+        # unions of chunks, several of which then make one chunk of the next level
+        fewer = F.ceil(F.col("chunks") / FAN_IN)
+        most = -(-most // FAN_IN)
+        pieces = cut_lineage(
+            _boundary(_sweep(pieces.filter("chunks > 1"))).withColumns({"chunk": F.pmod(F.col("chunk"), fewer), "chunks": fewer})
+        )
+        ready = ready.unionByName(pieces.filter("chunks = 1"))
+    return single.unionByName(stitch(_outline(cut_lineage(_sweep(ready)))))
+
+
+def dissolve_shapes(df: DataFrame, group: str, geom: str = "geom") -> DataFrame:
+    """(group, geom, area, perimeter) of the union of each group's polygons.
+
+    Exact copies count once, and groups with one distinct shape keep it as it is.  The other unions are valid
+    polygons: shells counter-clockwise with their holes, no two parts share more than a vertex, no vertex lies on
+    the line between its neighbours.
+    """
+    rows = df.filter(F.col(geom).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("grp"), F.col(geom).alias("geom"))
+    counted = rows.groupBy("grp").agg(F.sum(F.size(F.flatten(F.flatten("geom")))).alias("n"))
+    crowded = cut_lineage(counted.filter(F.col("n") > FEW_EDGES).select("grp"))
+    if crowded.isEmpty():
+        shapes = united(rows)
+    else:
+        crowded = broadcast_if_small(crowded)
+        others = rows.join(crowded, "grp", "left_anti")
+        if others.select("grp").distinct().limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+            # a handful of groups is no work of its own: they join the last sweep
+            shapes = _chunked(rows)
+        else:
+            shapes = united(others).unionByName(_chunked(rows.join(crowded, "grp", "left_semi")))
     measured = shapes.withColumns({"area": area("geom"), "perimeter": perimeter("geom")})
     return measured.withColumnRenamed("grp", group)
