@@ -13,8 +13,9 @@ from treatflow.operators.dissolve import dissolve_shapes
 from treatflow.session import cut_lineage
 
 HUBS = 8      # hubs that a block takes in its first round
-SIDE = 4      # width of a block, in tolerances
-BLOCK = ["sig", "c0", "c1", "c2", "c3"]
+SIDE = 5      # width of a block, in tolerances
+# its hash first, so that sorting by block seldom compares more than that
+BLOCK = ["block", "sig", "c0", "c1", "c2", "c3"]
 CORNERS = ("xmin", "ymin", "xmax", "ymax")
 
 
@@ -37,24 +38,26 @@ def within_tolerance(a: str, b: str, tol: float) -> Column:
     return F.expr(f"forall({pairs}, r -> exists({steps}, k -> forall({steps}, i -> {near})))")
 
 
-def _shape_rows(df: DataFrame, tol: float) -> DataFrame:
+def _shape_rows(df: DataFrame, tol: float, keep: Sequence[str] = ()) -> DataFrame:
     """What a shape shares with a near-identical one: counts, and a box whose corners are within ``tol``.
 
     ``c0`` to ``c3`` are the block of the box: the cells of its two corners, so its place and its size.
     """
     side = SIDE * tol * (1 + 1e-9)
     return df.select(
-        "id", F.expr("to_json(transform(geom, part -> transform(part, r -> size(r))))").alias("sig"), bounds("geom").alias("b"), "geom",
-    ).withColumns({f"c{i}": F.floor(F.col(f"b.{c}") / F.lit(side)) for i, c in enumerate(CORNERS)})
+        "id", F.expr("to_json(transform(geom, part -> transform(part, r -> size(r))))").alias("sig"), bounds("geom").alias("b"), "geom", *keep,
+    ).withColumns({f"c{i}": F.floor(F.col(f"b.{c}") / F.lit(side)) for i, c in enumerate(CORNERS)}).withColumn(
+        "block", F.xxhash64(*BLOCK[1:]))
 
 
 def _neighbours(nodes: DataFrame, tol: float, reach: int = 1) -> DataFrame:
     """The nodes, once for every block with boxes within ``reach`` tolerances of theirs."""
     side, far = SIDE * tol * (1 + 1e-9), reach * tol * (1 + 1e-9)
-    spread = nodes.drop(*BLOCK[1:])
+    spread = nodes.drop(*[c for c in BLOCK if c != "sig"])
     for i, c in enumerate(CORNERS):
         near = F.sequence(F.floor((F.col(f"b.{c}") - far) / F.lit(side)), F.floor((F.col(f"b.{c}") + far) / F.lit(side)))
         spread = spread.withColumn(f"c{i}", F.explode(near))
+    spread = spread.withColumn("block", F.xxhash64(*BLOCK[1:]))
     return spread.select(*BLOCK, *[F.col(c).alias(c + "2") for c in nodes.columns if c not in BLOCK])
 
 
@@ -63,9 +66,13 @@ def _boxes_within(tol: float) -> Column:
     return near[0] & near[1] & near[2] & near[3]
 
 
-def _links(shapes: DataFrame, nodes: DataFrame, tol: float) -> DataFrame:
-    """Linked (shape, node) pairs of different shapes that meet in the shape's block."""
-    met = shapes.join(_neighbours(nodes, tol), BLOCK).filter((F.col("id") != F.col("id2")) & _boxes_within(tol))
+def _links(shapes: DataFrame, nodes: DataFrame, tol: float, once: bool = False) -> DataFrame:
+    """Linked (shape, node) pairs of different shapes that meet in the shape's block.
+
+    With ``once``, for nodes that are all the shapes, a pair comes in one order only.
+    """
+    different = F.col("id") < F.col("id2") if once else F.col("id") != F.col("id2")
+    met = shapes.join(_neighbours(nodes, tol), BLOCK).filter(different & _boxes_within(tol))
     return met.filter(within_tolerance("geom", "geom2", tol)).select(
         F.col("id").alias("u"), F.col("id2").alias("v")
     )
@@ -154,10 +161,11 @@ def near_identical(df: DataFrame, tol: float, oid: str = "oid", geom: str = "geo
         .withColumns({"k1": F.xxhash64("geom"), "k2": F.xxhash64(F.lit(1), "geom")})
     )
     distinct = footprints.groupBy("k1", "k2", "geom").agg(F.min("oid").alias("id"), F.count(F.lit(1)).alias("n"))
-    copies = cut_lineage(distinct)
-    shapes = cut_lineage(_shape_rows(copies, tol))
+    copies = cut_lineage(_shape_rows(distinct, tol, ["k1", "k2", "n"]))
+    shapes = copies.drop("k1", "k2", "n")
     nodes, member_links = _hubs(shapes, tol)
-    node_links = _links(shapes, nodes, tol)
+    # read several times by the rounds of components, so the comparison is computed once
+    node_links = cut_lineage(_links(shapes, nodes, tol, member_links is None))
     if member_links is None:
         found = components(node_links)
     else:
