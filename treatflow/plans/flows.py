@@ -232,7 +232,8 @@ def merge_qa(layers: Sequence[DataFrame], parcels: DataFrame, owner: str, funds:
     placed = [rename(layer, MERGE_RENAMES).withColumn("__layer", F.lit(i)) for i, layer in enumerate(layers)]
     contract = {"oid": "bigint", "FUNDING": "string", "geom": GEOM_TYPE, "__layer": "int"}
     merged = add_fields(merge_layers(placed, contract), MERGED_FIELDS)
-    funded = fund_source_type(repaired(merged), funds)
+    # the lists of funds and the borders of the ranges are taken from the written rows, so layers are read and repaired once
+    funded = fund_source_type(cut_lineage(repaired(merged)), funds)
     staged = number_rows(funded, ["__layer", "oid"], "ORGID").drop("__layer")
     owned = majority_owner(staged, parcels, "ORGID", owner, cell_size)
     checks = {"NO MGT_TYPE": qa.no_mgt_type(F.col("__mgt"))}
