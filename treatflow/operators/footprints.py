@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from treatflow.functions.geometry import area, bounds, perimeter
 from treatflow.operators.components import components
 from treatflow.operators.dissolve import dissolve_shapes
-from treatflow.session import cut_lineage
+from treatflow.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, cut_lineage, estimated_bytes
 
 HUBS = 8      # hubs that a block takes in its first round
 SIDE = 5      # width of a block, in tolerances
-# its hash first, so that sorting by block seldom compares more than that
-BLOCK = ["block", "sig", "c0", "c1", "c2", "c3"]
+# the hash first, so that sorting by block seldom compares more than that
+BLOCK = ["block", "sig"]
+CELLS = ["c0", "c1", "c2", "c3"]
 CORNERS = ("xmin", "ymin", "xmax", "ymax")
 
 
 def canonical(geom: str) -> Column:
     """Every ring started at its lowest vertex, so that equal rings are equal arrays."""
-    at = "int(array_position(r, array_min(r)))"
-    turned = f"concat(slice(r, {at}, size(r)), slice(r, 1, {at} - 1))"
-    return F.expr(f"transform({geom}, part -> transform(part, r -> {turned}))")
+    placed = "transform(part, r -> named_struct('r', r, 'at', int(array_position(r, array_min(r)))))"
+    turned = "if(p.at = 1, p.r, concat(slice(p.r, p.at, size(p.r)), slice(p.r, 1, p.at - 1)))"
+    return F.expr(f"transform({geom}, part -> transform({placed}, p -> {turned}))")
 
 
 def within_tolerance(a: str, b: str, tol: float) -> Column:
@@ -41,23 +42,48 @@ def within_tolerance(a: str, b: str, tol: float) -> Column:
 def _shape_rows(df: DataFrame, tol: float, keep: Sequence[str] = ()) -> DataFrame:
     """What a shape shares with a near-identical one: counts, and a box whose corners are within ``tol``.
 
-    ``c0`` to ``c3`` are the block of the box: the cells of its two corners, so its place and its size.
+    ``block`` is a hash of the counts and of the cells of the box's two corners, so of its place and its size.
     """
+    rows = df.select(
+        "id", F.expr("transform(geom, part -> transform(part, r -> size(r)))").alias("sig"), bounds("geom").alias("b"), "geom", *keep,
+    )
+    # none without a box, which has no neighbours
+    return rows.withColumn("block", F.when(F.col("b.xmin").isNotNull() & F.col("b.ymin").isNotNull(), F.xxhash64("sig", *_cells(tol))))
+
+
+def _counted_copies(footprints: DataFrame) -> DataFrame:
+    """Every shape once, with the smallest ``id`` of its rows and their number ``n``.
+
+    Hashes tell which shapes have copies; while these are few, only their polygons are shuffled.
+    """
+    keys = ["k1", "k2"]
+    count = lambda df: df.groupBy(*keys, "geom").agg(F.min("oid").alias("id"), F.count(F.lit(1)).alias("n"))
+    repeated = cut_lineage(footprints.groupBy(keys).count().filter("count > 1").select(keys))
+    if estimated_bytes(repeated) > BROADCAST_LIMIT_BYTES:
+        return count(footprints)
+    alone = footprints.join(F.broadcast(repeated), keys, "left_anti").select(
+        *keys, "geom", F.col("oid").alias("id"), F.lit(1).cast("bigint").alias("n")
+    )
+    return alone.unionByName(count(footprints.join(F.broadcast(repeated), keys, "left_semi")))
+
+
+def _cells(tol: float) -> list[Column]:
     side = SIDE * tol * (1 + 1e-9)
-    return df.select(
-        "id", F.expr("to_json(transform(geom, part -> transform(part, r -> size(r))))").alias("sig"), bounds("geom").alias("b"), "geom", *keep,
-    ).withColumns({f"c{i}": F.floor(F.col(f"b.{c}") / F.lit(side)) for i, c in enumerate(CORNERS)}).withColumn(
-        "block", F.xxhash64(*BLOCK[1:]))
+    return [F.floor(F.col(f"b.{c}") / F.lit(side)) for c in CORNERS]
 
 
-def _neighbours(nodes: DataFrame, tol: float, reach: int = 1) -> DataFrame:
-    """The nodes, once for every block with boxes within ``reach`` tolerances of theirs."""
+def _spread(nodes: DataFrame, tol: float, reach: int = 1) -> DataFrame:
+    """The nodes, once for the cells ``c0`` to ``c3`` of every block with boxes within ``reach`` tolerances of theirs."""
     side, far = SIDE * tol * (1 + 1e-9), reach * tol * (1 + 1e-9)
-    spread = nodes.drop(*[c for c in BLOCK if c != "sig"])
-    for i, c in enumerate(CORNERS):
+    for cell, c in zip(CELLS, CORNERS):
         near = F.sequence(F.floor((F.col(f"b.{c}") - far) / F.lit(side)), F.floor((F.col(f"b.{c}") + far) / F.lit(side)))
-        spread = spread.withColumn(f"c{i}", F.explode(near))
-    spread = spread.withColumn("block", F.xxhash64(*BLOCK[1:]))
+        nodes = nodes.withColumn(cell, F.explode(near))
+    return nodes
+
+
+def _neighbours(nodes: DataFrame, tol: float, reach: int = 1) -> DataFrame:
+    """The nodes, once for every block with boxes within ``reach`` tolerances of theirs."""
+    spread = _spread(nodes.drop("block"), tol, reach).withColumn("block", F.xxhash64("sig", *CELLS))
     return spread.select(*BLOCK, *[F.col(c).alias(c + "2") for c in nodes.columns if c not in BLOCK])
 
 
@@ -66,20 +92,61 @@ def _boxes_within(tol: float) -> Column:
     return near[0] & near[1] & near[2] & near[3]
 
 
-def _links(shapes: DataFrame, nodes: DataFrame, tol: float, once: bool = False) -> DataFrame:
+def _links(shapes: DataFrame, nodes: DataFrame, tol: float, blocks: DataFrame | None = None) -> DataFrame:
     """Linked (shape, node) pairs of different shapes that meet in the shape's block.
 
-    With ``once``, for nodes that are all the shapes, a pair comes in one order only.
+    ``blocks`` are those of the shapes, so that nodes far from them stay where they are.
     """
-    different = F.col("id") < F.col("id2") if once else F.col("id") != F.col("id2")
-    met = shapes.join(_neighbours(nodes, tol), BLOCK).filter(different & _boxes_within(tol))
+    near = _neighbours(nodes, tol)
+    if blocks is not None:
+        near = near.join(broadcast_if_small(blocks), BLOCK, "left_semi")
+    met = shapes.join(near, BLOCK).filter((F.col("id") != F.col("id2")) & _boxes_within(tol))
     return met.filter(within_tolerance("geom", "geom2", tol)).select(
         F.col("id").alias("u"), F.col("id2").alias("v")
     )
 
 
-def _hubs(shapes: DataFrame, tol: float) -> tuple[DataFrame, DataFrame | None]:
-    """(nodes, member links): shapes that stand in for the others, and the others' links to them.
+def _near_boxes(shapes: DataFrame, tol: float) -> DataFrame:
+    """Pairs of shapes (``id``, ``k1`` and ``id2``, ``k12``) whose boxes are within ``tol``, each pair once.
+
+    No polygon moves.  Of two shapes in different blocks only the one with the higher cells comes to the other.
+    """
+    own = shapes.select("block", "id", "k1", "b")
+    # a shape in its own block, or in a lower one
+    cells, home = F.struct(*CELLS), F.struct(*[c.alias(n) for n, c in zip(CELLS, _cells(tol))])
+    spread = _spread(shapes.select("sig", "id", "k1", "b"), tol).filter(cells <= home).select(
+        F.xxhash64("sig", *CELLS).alias("block"), F.col("id").alias("id2"), F.col("k1").alias("k12"), F.col("b").alias("b2"),
+        (cells == home).alias("at_home"),
+    )
+    met = own.join(spread, "block").filter(_boxes_within(tol))
+    return met.filter((F.col("id") != F.col("id2")) & (~F.col("at_home") | (F.col("id") < F.col("id2")))).select(
+        "id", "k1", "id2", "k12"
+    )
+
+
+def _links_of_few(shapes: DataFrame, tol: float) -> DataFrame:
+    """Linked pairs, smaller id first, of shapes with few others in any block.
+
+    Pairs are found on boxes alone; polygons are then brought to the pairs, so that none is copied to all blocks near it.
+    """
+    side = lambda a: shapes.select(*[F.col(c).alias(f"{c}_{a}") for c in ("id", "k1", "sig", "geom")])
+    pairs = _near_boxes(shapes, tol).select(
+        F.col("id").alias("id_p"), F.col("k1").alias("k1_p"), F.col("id2").alias("id_q"), F.col("k12").alias("k1_q")
+    )
+    met = pairs.join(side("p"), ["id_p", "k1_p"]).join(side("q"), ["id_q", "k1_q"])
+    # different blocks may share a hash; inside coalesce, so that counts do not become a key of the join
+    alike = F.coalesce(F.col("sig_p") == F.col("sig_q"), F.lit(False))
+    return met.filter(alike & within_tolerance("geom_p", "geom_q", tol)).select(
+        F.least("id_p", "id_q").alias("u"), F.greatest("id_p", "id_q").alias("v")
+    )
+
+
+def _crowded(shapes: DataFrame) -> DataFrame:
+    return cut_lineage(shapes.groupBy(BLOCK).count().filter(F.col("count") > HUBS).select(BLOCK))
+
+
+def _hubs(crowd: DataFrame, blocks: DataFrame, tol: float) -> tuple[DataFrame, DataFrame]:
+    """(hubs, member links): shapes of crowded blocks that stand in for the others, and the others' links to them.
 
     A round takes up to ``HUBS`` shapes of every block, from where most shapes lie, and links the rest to the hubs within
     tolerance.  What is left goes to the next round, with twice as many hubs.  A block with no more shapes than that has
@@ -90,13 +157,8 @@ def _hubs(shapes: DataFrame, tol: float) -> tuple[DataFrame, DataFrame | None]:
         "transform(flatten(geom), r -> transform(r, v -> "
         f"named_struct('x', floor(v.x / {side!r}D), 'y', floor(v.y / {side!r}D))))"
     )
-    larger = lambda df: df.groupBy(BLOCK).count().filter(F.col("count") > HUBS).select(BLOCK)
-    blocks = cut_lineage(larger(shapes))
-    if blocks.isEmpty():
-        return shapes, None
-    nodes = shapes.join(blocks, BLOCK, "left_anti")
-    rest = shapes.join(blocks, BLOCK, "left_semi").withColumn("fine", F.xxhash64(snapped))
-    member_links, most = None, HUBS
+    rest = crowd.withColumn("fine", F.xxhash64(snapped))
+    nodes, member_links, most = None, None, HUBS
     while not blocks.isEmpty():
         spots = rest.groupBy(*BLOCK, "fine").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
         chosen = spots.groupBy(*BLOCK, F.pmod(F.xxhash64("fine"), F.lit(most)).alias("part")).agg(
@@ -105,11 +167,11 @@ def _hubs(shapes: DataFrame, tol: float) -> tuple[DataFrame, DataFrame | None]:
         hubs = cut_lineage(rest.join(chosen.select("id"), "id", "left_semi").drop("fine"))
         links = cut_lineage(_links(rest.drop("fine"), hubs, tol))
         member_links = links if member_links is None else member_links.union(links)
-        nodes = nodes.unionByName(hubs)
+        nodes = hubs if nodes is None else nodes.unionByName(hubs)
         placed = links.select(F.col("u").alias("id")).union(hubs.select("id")).distinct()
         rest = cut_lineage(rest.join(placed, "id", "left_anti"))
         # blocks with few shapes left leave the rounds
-        blocks = cut_lineage(larger(rest))
+        blocks = _crowded(rest)
         nodes = nodes.unionByName(rest.join(blocks, BLOCK, "left_anti").drop("fine"))
         rest = rest.join(blocks, BLOCK, "left_semi")
         most *= 2
@@ -160,22 +222,32 @@ def near_identical(df: DataFrame, tol: float, oid: str = "oid", geom: str = "geo
         .select(F.col(oid).alias("oid"), canonical(geom).alias("geom"))
         .withColumns({"k1": F.xxhash64("geom"), "k2": F.xxhash64(F.lit(1), "geom")})
     )
-    distinct = footprints.groupBy("k1", "k2", "geom").agg(F.min("oid").alias("id"), F.count(F.lit(1)).alias("n"))
-    copies = cut_lineage(_shape_rows(distinct, tol, ["k1", "k2", "n"]))
-    shapes = copies.drop("k1", "k2", "n")
-    nodes, member_links = _hubs(shapes, tol)
-    # read several times by the rounds of components, so the comparison is computed once
-    node_links = cut_lineage(_links(shapes, nodes, tol, member_links is None))
-    if member_links is None:
-        found = components(node_links)
+    copies = cut_lineage(_shape_rows(_counted_copies(footprints), tol, ["k1", "k2", "n"]))
+    # links name ids, so a shape without one has none
+    shapes = copies.drop("k2", "n").filter(F.col("id").isNotNull())
+    blocks = _crowded(shapes)
+    # links are read several times by the rounds of components, so the comparison is computed once
+    if blocks.isEmpty():
+        found = components(cut_lineage(_links_of_few(shapes, tol)))
     else:
+        few = shapes.join(blocks, BLOCK, "left_anti")
+        crowd = cut_lineage(shapes.join(blocks, BLOCK, "left_semi"))
+        hubs, member_links = _hubs(crowd, blocks, tol)
         member_links = cut_lineage(member_links)
+        node_links = _links_of_few(few, tol).union(_links(crowd, few.unionByName(hubs), tol, blocks))
         links = cut_lineage(member_links.union(node_links).distinct())
         found = components(links.union(_links_between_balls(shapes, member_links, components(links), tol)))
-    members = footprints.select("oid", "k1", "k2").join(copies.select("k1", "k2", "id", "n"), ["k1", "k2"])
-    grouped = members.join(found.withColumnRenamed("u", "id"), "id", "left")
-    grp = F.coalesce(F.col("grp"), F.when(F.col("n") > 1, F.col("id")))
-    return grouped.select("oid", grp.alias("grp")).filter(F.col("grp").isNotNull())
+    found = found.withColumnRenamed("u", "id")
+    # the id of a shape without copies is its row's; only shapes with copies are looked up in all rows
+    grouped = copies.filter("n = 1").select("id").join(found, "id").select(F.col("id").alias("oid"), "grp")
+    several = cut_lineage(copies.filter("n > 1").select("k1", "k2", "id"))
+    if not several.isEmpty():
+        members = footprints.select("oid", "k1", "k2").join(broadcast_if_small(several), ["k1", "k2"])
+        grp = F.coalesce(F.col("grp"), F.col("id"))
+        named = members.join(found, "id", "left").select("oid", grp.alias("grp"))
+        grouped = grouped.union(named).filter(F.col("grp").isNotNull())
+    # read twice by those who join it, and narrow
+    return cut_lineage(grouped)
 
 
 def join_duplicates(df: DataFrame, groups: DataFrame, with_size: bool = False, oid: str = "oid") -> DataFrame:
@@ -206,7 +278,13 @@ def dense_number(df: DataFrame, key: str, name: str) -> DataFrame:
     numbered = placed.join(F.broadcast(offsets), "__part").select(
         F.col(key).alias("__key"), (F.col("__before") + F.row_number().over(within)).alias(name)
     )
-    return df.join(numbered, F.col(key) == F.col("__key"), "left").drop("__key")
+    # rows without a key would all go to one task, so they are dealt out by the one they come from
+    dealt = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(-1)
+    keyed = df.withColumn("__dealt", F.struct(F.col(key).alias("key"), dealt.alias("part")))
+    named = numbered.select(F.struct(F.col("__key").alias("key"), F.lit(-1).alias("part")).alias("__named"), name)
+    # the hash first, so that sorting seldom compares more than that
+    same = (F.xxhash64("__dealt") == F.xxhash64("__named")) & (F.col("__dealt") == F.col("__named"))
+    return keyed.join(named, same, "left").drop("__dealt", "__named")
 
 
 def dissolve_groups(df: DataFrame, fields: Sequence[str], dup: str = "DuplID") -> DataFrame:

@@ -12,6 +12,7 @@ from treatflow.functions import geometry as geo
 from treatflow.operators import filters, footprints, overlay, schema
 from treatflow.operators.dissolve import dissolve_shapes
 from treatflow.plans.flows import single_parts
+from treatflow.session import cut_lineage
 from workload.fixtures import oracle, view
 from workload.registry import query
 
@@ -198,9 +199,10 @@ GROUPS = f"""{near_cte(100)},
 
 
 def grouped(spark, sf):
-    df = view(spark, sf, "footprints")
-    dups = footprints.join_duplicates(df, footprints.near_identical(df, 100.0))
-    return footprints.dissolve_groups(dups, ["activity_reclass", "DATE_COMPLETED"])
+    df, fields = view(spark, sf, "footprints"), ["activity_reclass", "DATE_COMPLETED"]
+    dups = footprints.join_duplicates(df.select("oid", *fields), footprints.near_identical(df, 100.0))
+    # read for the keys and for their numbers
+    return footprints.dissolve_groups(cut_lineage(dups), fields)
 
 
 @query("w1_dissolve_group", oracle(f"WITH {GROUPS} SELECT oid, DISSOLVE_GRP FROM grouped", "footprints"))
